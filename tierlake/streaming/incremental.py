@@ -24,9 +24,13 @@ from tierlake.session import shared_dir
 from tierlake.sources.files import read_trip_files
 
 
+# The fixed schema of the binaryFile source (a stream must be given one).
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def new_files_stream(spark: SparkSession, landing_root: str, pattern: str = "*.parquet",
                      max_files_per_trigger: int | None = None):
-    reader = (spark.readStream.format("binaryFile")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
