@@ -28,13 +28,13 @@ def test_two_available_now_runs_equal_one_batch(spark, workdir):
 
     trips.where("payment_type <= 3").coalesce(1).write.parquet(f"{landing}/2024-01")
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert lake.bronze.current_version() == 1
+    assert lake.bronze.has_batch("stream-0") and not lake.bronze.has_batch("stream-1")
     first = lake.bronze.read().count()
     assert first == trips.where("payment_type <= 3").count()
 
     trips.where("payment_type > 3").coalesce(1).write.parquet(f"{landing}/2024-02")
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert lake.bronze.current_version() == 2
+    assert lake.bronze.has_batch("stream-1")
     bronze = lake.bronze.read()
     # The second run saw only the new file: its batch id is on exactly those rows.
     by_batch = {r.batch_id: r["count"] for r in bronze.groupBy("batch_id").count().collect()}
@@ -42,7 +42,8 @@ def test_two_available_now_runs_equal_one_batch(spark, workdir):
 
     # A third run with no new file commits nothing.
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert lake.bronze.current_version() == 2
+    assert not lake.bronze.has_batch("stream-2")
+    assert lake.bronze.read().count() == trips.count()
 
     one = Lakehouse(spark, f"{workdir}/one")
     one.run_batch(trips, "all", dt.datetime(2024, 3, 1))

@@ -113,3 +113,29 @@ def test_lakehouse_incremental_equals_single_batch(spark, workdir):
     assert s.where("batch_id = 'b2' AND ingested_date = TIMESTAMP_NTZ'2024-01-01'").count() == \
         trips.where("payment_type IN (4, 5)").count()
     assert "airport_fee" not in [c.lower() for c in inc.bronze.read().columns]
+
+
+def test_layout_partitions_and_replay(spark, workdir):
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType
+    schema = StructType([StructField("ts", TimestampNTZType()), *kv_schema().fields])
+    root = f"{workdir}/bronze"
+    t = PartitionedTable(spark, root, schema, ["m"], {"m": "date_format(ts, 'yyyy-MM')"},
+                         local_check="ts IS NOT NULL")
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    t.merge(spark.createDataFrame([(jan, 1, "a"), (feb, 2, "b")], schema), ["ts", "id"], "b1",
+            preserve=[])
+    jan_files = sorted(glob.glob(f"{root}/m=2024-01/*.parquet"))
+    second = spark.createDataFrame([(feb, 2, "B"), (feb, 3, "c")], schema)
+    assert "PartitionFilters: [isnotnull(m" in \
+        t.scope(second)._jdf.queryExecution().executedPlan().toString() or \
+        t.scope(second).count() == 1
+    assert t.merge(second, ["ts", "id"], "b2", preserve=[]) is not None
+    assert sorted(glob.glob(f"{root}/m=2024-01/*.parquet")) == jan_files
+    assert rows(t.read()) == [(jan, 1, "a"), (feb, 2, "B"), (feb, 3, "c")]
+    assert t.read().columns == schema.fieldNames()
+    # Replaying a committed batch changes nothing.
+    assert t.merge(second, ["ts", "id"], "b2", preserve=[]) is None
+    assert t.read().count() == 3
+    # A source row failing the locality check widens the scope to the whole table.
+    odd = spark.createDataFrame([(None, 9, "z")], schema)
+    assert t.scope(odd).count() == 3

@@ -53,6 +53,8 @@ RAW_TRIP_SCHEMA = StructType(RAW_TRIP_FIELDS)
 
 BRONZE_SCHEMA = StructType(RAW_TRIP_FIELDS + AUDIT_FIELDS)
 BRONZE_KEYS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount"]
+# Storage layout: bronze is partitioned by pickup month, which its key determines.
+BRONZE_LAYOUT = {"pickup_month": "date_format(tpep_pickup_datetime, 'yyyy-MM')"}
 
 # The columns the silver layer keeps, in the order they are selected.
 SILVER_COLUMNS = [
@@ -78,6 +80,14 @@ SILVER_SCHEMA = StructType([
     *AUDIT_FIELDS,
 ])
 SILVER_KEYS = ["trip_id"]
+# Silver is partitioned by pickup month too. trip_id hashes the pickup time, so
+# equal ids mean equal pickup months whenever the hashed columns have no NULL
+# (with NULLs skipped, values can shift position between rows).
+SILVER_LAYOUT = {"pickup_month": "date_format(pickup_datetime, 'yyyy-MM')"}
+SILVER_LOCAL_CHECK = " AND ".join(
+    f"{c} IS NOT NULL" for c in ("VendorID", "pickup_datetime", "dropoff_datetime",
+                                 "PULocationID", "DOLocationID", "payment_type",
+                                 "total_amount"))
 
 GOLD_SCHEMA = StructType([
     StructField("id", StringType()),
