@@ -23,7 +23,21 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return with_min_parallelism(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def with_min_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it yields fewer splits than cores.
+
+    A small file with a single row group is read by one task, which then also
+    runs every narrow step after it (hashing, casts, broadcast joins). Large
+    inputs have many splits and are returned unchanged, so this never adds a
+    shuffle at scale. Filters and column pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def as_trips(lineitem: DataFrame) -> DataFrame:
