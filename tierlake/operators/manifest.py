@@ -76,3 +76,13 @@ def completeness(declared: DataFrame, listing: DataFrame) -> DataFrame:
     ok = F.col("length").isNotNull() & (
         F.col("declared_length").isNull() | (F.col("declared_length") == F.col("length")))
     return j.select("file_name", "declared_length", "length", ok.alias("complete"))
+
+
+def plan_downloads(spark: SparkSession, listing: DataFrame, log: DataFrame,
+                   start_year: int, end_year: int, base_url: str = DEFAULT_BASE_URL
+                   ) -> DataFrame:
+    """What the downloader should fetch for ``[start_year, end_year]``: every
+    expected monthly file that is not stored, plus stored ones whose latest
+    logged attempt failed. ``listing`` comes from ``sources.listing.list_files``."""
+    expected = expected_files(year_range(spark, start_year, end_year), base_url)
+    return download_plan(expected, present_from_listing(listing), log)

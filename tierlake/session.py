@@ -62,3 +62,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared dir for staged intermediate data."""
     return shared_dir(spark, "tierlake", purpose, uuid.uuid4().hex)
+
+
+def object_store_conf(endpoint: str, access_key: str, secret_key: str,
+                      path_style: bool = True) -> dict[str, str]:
+    """Builder settings for an S3-compatible object store (``s3a://`` paths).
+
+    Credentials are taken as arguments (read them from the job's environment or
+    secret store); they are never written into code or plans.
+    """
+    return {
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+    }
