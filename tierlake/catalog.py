@@ -118,7 +118,8 @@ def q_gold_daily_revenue(spark, sf):
 
 
 def q_gold_limit(spark, sf):
-    return top_rows(gold_trip_revenue(silver_transform(_bronze(spark, sf))), TOP_N, "id")
+    return top_rows(gold_trip_revenue(silver_transform(_bronze(spark, sf))), TOP_N,
+                    ["id", "year", "month", "day"])
 
 
 def q_merge_bronze(spark, sf):
@@ -306,7 +307,8 @@ SELECT CAST(year(dropoff_datetime) AS INTEGER) AS year,
        CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
        count(*) AS trip_count
 FROM silver GROUP BY ALL""",
-    "gold_limit": f"WITH {_TRIPS} SELECT * FROM ({_gold_of('bronze')}) ORDER BY id LIMIT {TOP_N}",
+    "gold_limit": f"""WITH {_TRIPS} SELECT * FROM ({_gold_of('bronze')})
+ORDER BY id, year, month, day LIMIT {TOP_N}""",
     "merge_bronze": _merge_sql(f"SELECT *, {_audit('b1', T1)} FROM tgt",
                                f"SELECT *, {_audit('b2', T2)} FROM src", BRONZE_KEYS),
     "merge_silver": _merge_sql(
