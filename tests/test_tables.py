@@ -139,3 +139,17 @@ def test_layout_partitions_and_replay(spark, workdir):
     # A source row failing the locality check widens the scope to the whole table.
     odd = spark.createDataFrame([(None, 9, "z")], schema)
     assert t.scope(odd).count() == 3
+
+
+def test_scope_falls_back_to_semi_join_beyond_literal_limit(spark, workdir):
+    root = f"{workdir}/gold"
+    g = PartitionedTable(spark, root, GOLD_SCHEMA, GOLD_PARTITIONS, max_literal_partitions=1)
+    first = gold_rows(spark, [("a", 2024, 1, 1, 1.0), ("b", 2024, 1, 2, 2.0),
+                              ("c", 2024, 1, 3, 3.0)], "b1", T1)
+    g.merge(first, ["id"], "b1")
+    second = gold_rows(spark, [("a", 2024, 1, 1, 10.0), ("b", 2024, 1, 2, 20.0),
+                               ("e", 2024, 1, 5, 5.0)], "b2", T2)
+    assert sorted(r.id for r in g.scope(second).collect()) == ["a", "b"]
+    g.merge(second, ["id"], "b2")
+    got = {r.id: r.total_revenue for r in g.read().collect()}
+    assert got == {"a": 10.0, "b": 20.0, "c": 3.0, "e": 5.0}
