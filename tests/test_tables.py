@@ -11,6 +11,7 @@ from tierlake.operators.merge import merge_upsert
 from tierlake.plans.lakehouse import Lakehouse
 from tierlake.schemas import GOLD_PARTITIONS, GOLD_SCHEMA, REPLAY_LOG_SCHEMA, SILVER_SCHEMA
 from tierlake.sinks.tables import PartitionedTable, VersionedTable, failures_recorded
+from tierlake.plans.layers import silver_transform
 from tierlake.sources.fixtures import as_trips, read_table
 
 from conftest import SF_SMALL
@@ -153,3 +154,17 @@ def test_scope_falls_back_to_semi_join_beyond_literal_limit(spark, workdir):
     g.merge(second, ["id"], "b2")
     got = {r.id: r.total_revenue for r in g.read().collect()}
     assert got == {"a": 10.0, "b": 20.0, "c": 3.0, "e": 5.0}
+
+
+def test_daily_rollup_follows_touched_days(spark, workdir):
+    from tierlake.plans.layers import gold_daily_revenue
+    f1, f2, trips = write_trip_files(spark, workdir)
+    lake = Lakehouse(spark, f"{workdir}/lake", daily_rollup=True)
+    lake.run_files([f1], "b1", T1)
+    lake.run_files([f2], "b2", T2)
+    expected = gold_daily_revenue(silver_transform(trips.drop("airport_fee")))
+    cols = ["year", "month", "day", "total_revenue", "trip_count"]
+    assert rows(lake.gold_daily.read(), cols) == rows(expected, cols)
+    # Days touched by both batches carry the second batch id, first ingestion time.
+    d = lake.gold_daily.read()
+    assert d.where("batch_id = 'b2' AND ingested_date = TIMESTAMP_NTZ'2024-01-01'").count() > 0

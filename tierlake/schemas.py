@@ -100,6 +100,17 @@ GOLD_SCHEMA = StructType([
 GOLD_KEYS = ["id"]
 GOLD_PARTITIONS = ["year", "month", "day"]
 
+# Daily revenue roll-up of gold, maintained per batch for the days it touches.
+GOLD_DAILY_SCHEMA = StructType([
+    StructField("year", IntegerType()),
+    StructField("month", IntegerType()),
+    StructField("day", IntegerType()),
+    StructField("total_revenue", DoubleType()),
+    StructField("trip_count", LongType()),
+    *AUDIT_FIELDS,
+])
+GOLD_DAILY_KEYS = ["year", "month", "day"]
+
 OPLOG_SCHEMA = StructType([
     StructField("fileName", StringType()),
     StructField("downloadURL", StringType()),
