@@ -168,3 +168,17 @@ def test_daily_rollup_follows_touched_days(spark, workdir):
     # Days touched by both batches carry the second batch id, first ingestion time.
     d = lake.gold_daily.read()
     assert d.where("batch_id = 'b2' AND ingested_date = TIMESTAMP_NTZ'2024-01-01'").count() > 0
+
+
+def test_staged_copies_are_removed_after_success(spark, workdir):
+    import os as _os
+    lake = Lakehouse(spark, f"{workdir}/lake")
+    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(50)
+    lake.run_batch(trips, "b1", T1)
+    assert lake._staged == []
+    assert lake.silver.read().count() == 50
+    stage_root = spark.conf.get("spark.checkpoint.dir").replace("file:", "") + "/tierlake"
+    leftovers = [d for d in ("bronze-batch", "silver-batch", "gold-batch")
+                 if _os.path.isdir(f"{stage_root}/{d}") and
+                 any(_os.listdir(f"{stage_root}/{d}/{u}") for u in _os.listdir(f"{stage_root}/{d}"))]
+    assert leftovers == []
