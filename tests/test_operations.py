@@ -18,7 +18,7 @@ def d(day):
 
 
 def test_operations_log_table(spark, workdir):
-    log = OperationsLog(spark, f"{workdir}/log")
+    log = OperationsLog(spark, f"{workdir}/log", keep_versions=2)
     log.log_status("a.parquet", "u/a", "failed", d(1), "timeout")
     log.log_status("a.parquet", "u/a", "failed", d(2), "again")   # file known: not inserted
     log.log_status("b.parquet", "u/b", "failed", d(1), "it's broken")
@@ -28,6 +28,7 @@ def test_operations_log_table(spark, workdir):
     assert log.read().count() == 3
     log.deduplicate()
     assert {r.fileName for r in log.retry_candidates().collect()} == {"a.parquet", "b.parquet"}
+    assert len(log.table._versions()) == 2
 
 
 def test_plan_downloads_from_listing(spark, workdir):

@@ -23,6 +23,8 @@ from tierlake.sinks.tables import VersionedTable
 class OperationsLog:
     spark: SparkSession
     root: str
+    # Committed versions kept after each change (older ones are deleted).
+    keep_versions: int = 10
 
     def __post_init__(self):
         self.table = VersionedTable(self.spark, self.root, OPLOG_SCHEMA)
@@ -41,6 +43,7 @@ class OperationsLog:
         log = self.read()
         self.table.commit(oplog.append_if_absent(log, entries),
                           change_id or f"record-{uuid.uuid4().hex[:8]}")
+        self.table.expire(self.keep_versions)
 
     def log_status(self, file_name: str, url: str, status: str, at: dt.datetime,
                    error: str = "") -> None:
@@ -51,6 +54,7 @@ class OperationsLog:
         """Keep only each file's latest entry (ties kept)."""
         self.table.commit(oplog.deduplicate(self.read()),
                           change_id or f"dedup-{uuid.uuid4().hex[:8]}")
+        self.table.expire(self.keep_versions)
 
     def retry_candidates(self) -> DataFrame:
         return oplog.retry_candidates(self.read())
