@@ -10,6 +10,7 @@ with column pruning and filter pushdown into every group's scan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,17 @@ def drop_unstable(df: DataFrame, column: str = UNSTABLE_COLUMN) -> DataFrame:
     return df.drop(column)
 
 
-def group_by_physical_schema(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by their Parquet schema (names and types), in first-seen order."""
+def group_by_physical_schema(spark: SparkSession, paths: list[str],
+                             threads: int = 16) -> list[tuple[StructType, list[str]]]:
+    """Files grouped by their Parquet schema (names and types), in input order.
+
+    Only footers are read; they are fetched concurrently, since on an object
+    store each footer read is a round trip and a backfill lists many files.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
+    for path, schema in zip(paths, schemas):
         sig = ",".join(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema.fields)
         groups.setdefault(sig, (schema, []))[1].append(path)
     return list(groups.values())
