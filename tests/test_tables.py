@@ -170,15 +170,19 @@ def test_daily_rollup_follows_touched_days(spark, workdir):
     assert d.where("batch_id = 'b2' AND ingested_date = TIMESTAMP_NTZ'2024-01-01'").count() > 0
 
 
-def test_staged_copies_are_removed_after_success(spark, workdir):
-    import os as _os
+def test_staged_copies_are_removed_after_success(spark, workdir, monkeypatch):
+    import tierlake.plans.lakehouse as lh
+    deleted = []
+    real_delete = lh.delete_path
+
+    def recording_delete(spark_, path):
+        deleted.append(path)
+        real_delete(spark_, path)
+
+    monkeypatch.setattr(lh, "delete_path", recording_delete)
     lake = Lakehouse(spark, f"{workdir}/lake")
     trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(50)
     lake.run_batch(trips, "b1", T1)
-    assert lake._staged == []
+    assert lake._staged == [] and len(deleted) == 3
+    assert not any(os.path.exists(p.replace("file:", "")) for p in deleted)
     assert lake.silver.read().count() == 50
-    stage_root = spark.conf.get("spark.checkpoint.dir").replace("file:", "") + "/tierlake"
-    leftovers = [d for d in ("bronze-batch", "silver-batch", "gold-batch")
-                 if _os.path.isdir(f"{stage_root}/{d}") and
-                 any(_os.listdir(f"{stage_root}/{d}/{u}") for u in _os.listdir(f"{stage_root}/{d}"))]
-    assert leftovers == []
