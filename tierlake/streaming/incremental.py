@@ -5,10 +5,11 @@ only ``path`` (no file bytes are read). Its checkpoint records which files have
 been processed, so each run picks up only new files. Every micro-batch reads
 its files with the drift-tolerant scan and runs the three layer merges.
 
-Replays are safe: the batch id is derived from the micro-batch id, versioned
-tables skip a batch they have already committed, and the gold partition merge
-of the same rows is idempotent. The clock must therefore be a function of the
-batch id, not of wall time, for a replay to reproduce the same audit columns.
+Replays are safe: the batch id is derived from the micro-batch id, and every
+layer table skips a batch it has already committed (a replay after a failure
+in silver re-stages bronze's rows but does not merge them again). The clock
+should be a function of the batch id, not of wall time, for a replay to
+reproduce the same audit columns.
 """
 
 from __future__ import annotations
