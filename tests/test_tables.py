@@ -186,3 +186,20 @@ def test_staged_copies_are_removed_after_success(spark, workdir, monkeypatch):
     assert lake._staged == [] and len(deleted) == 3
     assert not any(os.path.exists(p.replace("file:", "")) for p in deleted)
     assert lake.silver.read().count() == 50
+
+
+def test_retry_after_partial_failure_equals_clean_run(spark, workdir):
+    from tierlake.plans.lakehouse import DataQualityError
+    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(300)
+    lake = Lakehouse(spark, f"{workdir}/lake", blocking_rules=("payment_type_known",))
+    with pytest.raises(DataQualityError):          # lineitem has payment type 7
+        lake.run_batch(trips, "b1", T1)
+    assert lake.bronze.has_batch("b1") and lake.silver.has_batch("b1")
+    assert not lake.gold.has_batch("b1")
+    lake.blocking_rules = ()
+    lake.run_batch(trips, "b1", T1)                # the retry of the same batch
+    clean = Lakehouse(spark, f"{workdir}/clean", blocking_rules=())
+    clean.run_batch(trips, "b1", T1)
+    for layer in ("bronze", "silver", "gold"):
+        a, b = getattr(lake, layer).read(), getattr(clean, layer).read()
+        assert rows(a) == rows(b), layer
