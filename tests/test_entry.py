@@ -58,3 +58,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(want)
     assert _digest(df.columns, got) == _digest(cols, want)
+
+
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = dict(entry_mod.queries()[name](spark, SF_SMALL).dtypes)
+    described = duck.execute(f"DESCRIBE {entry_mod.oracle_sql()[name]}").fetchall()
+    duck_types = {row[0]: DUCK_TO_SPARK.get(row[1], row[1]) for row in described}
+    assert spark_types == duck_types
