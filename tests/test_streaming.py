@@ -50,3 +50,15 @@ def test_two_available_now_runs_equal_one_batch(spark, workdir):
     cols = [c for c in SILVER_SCHEMA.fieldNames() if c not in AUDIT]
     assert rows(lake.silver.read(), cols) == rows(one.silver.read(), cols)
     assert lake.gold.read().count() == one.gold.read().count()
+
+
+def test_one_run_splits_new_files_into_micro_batches(spark, workdir):
+    trips = as_trips(read_table(spark, SF_SMALL, "lineitem"))
+    landing = f"{workdir}/landing"
+    for t in (1, 2, 3):
+        trips.where(f"payment_type = {t}").coalesce(1).write.parquet(f"{landing}/m{t}")
+    lake = Lakehouse(spark, f"{workdir}/lake")
+    start_incremental(lake, landing, clock=clock, checkpoint=f"{workdir}/ckpt",
+                      max_files_per_trigger=1).awaitTermination(300)
+    assert all(lake.bronze.has_batch(f"stream-{i}") for i in range(3))
+    assert lake.silver.read().count() == trips.where("payment_type <= 3").count()
