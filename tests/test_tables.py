@@ -203,3 +203,16 @@ def test_retry_after_partial_failure_equals_clean_run(spark, workdir):
     for layer in ("bronze", "silver", "gold"):
         a, b = getattr(lake, layer).read(), getattr(clean, layer).read()
         assert rows(a) == rows(b), layer
+
+
+def test_partition_values_with_quotes_and_backslashes(spark, workdir):
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField("zone", StringType()), *kv_schema().fields])
+    t = PartitionedTable(spark, f"{workdir}/t", schema, ["zone"])
+    t.merge(spark.createDataFrame([("O'Hare", 1, "a"), ("C:\\dir", 2, "b"), ("plain", 3, "c")],
+                                  schema), ["id"], "b1", preserve=[])
+    second = spark.createDataFrame([("O'Hare", 1, "A"), ("C:\\dir", 4, "d")], schema)
+    assert t.scope(second).count() == 2
+    t.merge(second, ["id"], "b2", preserve=[])
+    assert rows(t.read()) == sorted([("O'Hare", 1, "A"), ("C:\\dir", 2, "b"),
+                                     ("plain", 3, "c"), ("C:\\dir", 4, "d")], key=repr)
