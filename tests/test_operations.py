@@ -78,3 +78,14 @@ def test_quality_gate_and_views(spark, workdir):
     got = spark.sql("SELECT id, total_revenue FROM trip_info_g WHERE year = 2024").collect()
     assert len(got) == 1 and got[0].total_revenue == 10.0
     assert spark.sql("SELECT count(*) AS n FROM trip_info_s").first().n == 1
+
+
+def test_session_bootstrap_and_shared_dir(spark):
+    from tierlake.session import build_session, shared_dir
+    s = build_session("again", catalog="spark_catalog", database="default")
+    assert s is spark or s.sparkContext is spark.sparkContext
+    assert s.catalog.currentCatalog() == "spark_catalog"
+    assert s.catalog.currentDatabase() == "default"
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark, "x", "y") == base.rstrip("/") + "/x/y"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
