@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import minhash, mixing, pii, quality, tiling, toxicity, wavelet
+from tierlake.llm import minhash, mixing, pii, quality, quotes, rptree, tiling, toxicity, url_filter, wavelet
 from tierlake.llm.common import table
 
 
@@ -19,11 +19,23 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rptree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
         .selectExpr("doc_id", "item_id", "coverage", "tiles")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = wavelet.new_shard_path(spark)
     wavelet.write_token_shards(table(spark, sf_dir, "documents"), tokenizer_path(), path)
@@ -46,5 +58,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_decontamination, op6_wavelet_shards, op7_mixing, op8_quality, op9_minhash, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_rp_forest, op3_decontamination, op4_url_filter, op5_quote_linking,
+                                   op6_wavelet_shards, op7_mixing, op8_quality, op9_minhash, op10_pii)}
 ORACLE_SQL: dict[str, str] = {}
