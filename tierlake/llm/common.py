@@ -14,13 +14,23 @@ from pyspark.sql import functions as F
 from tierlake.llm.text import mix
 
 
+#: Rows that Python tasks get at once; texts are long, so far fewer than Spark's default.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Only a local session that names none
     gets one of its own; on a cluster an unset value is an error."""
+    bound_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):

@@ -155,7 +155,7 @@ def shingle_sets(hashes: np.ndarray, first: np.ndarray, width: int):
             yield np.zeros(0, np.uint64)
 
 
-def slices(column_batch: pa.RecordBatch, max_bytes: int = 4 << 20):
+def slices(column_batch: pa.RecordBatch, max_bytes: int = 1 << 20):
     """Cut a record batch so that each piece's ``text`` holds about ``max_bytes`` at most
     (a single longer text makes a piece of its own)."""
     text = column_batch.column("text")
