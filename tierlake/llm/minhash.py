@@ -9,8 +9,10 @@ the pairs by the members. Pairs are confirmed on the full shingle sets.
 
 A star alone can miss a link between two members that are both unlike the centre.
 So the buckets that still hold members of different components are compared in
-blocks on short signatures, and pairs that may reach the threshold are
-confirmed as well.
+blocks on short signatures. Pairs that may reach the threshold are not emitted:
+a block gives one edge per member, and the components of these edges are
+clusters. Within a cluster each document's full set is sent to the blocks once,
+and the pairs are confirmed there; again a block gives one edge per member.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from tierlake.llm.graph import components
 from tierlake.llm.text import mix, shingle_sets, slices, words_of
 
 BANDS, ROWS = 30, 5
-#: Rows of a bucket that are compared at once.
-BLOCK = 2000
+#: Rows of a bucket or cluster that are compared at once, and their shingles.
+BLOCK, BLOCK_SHINGLES = 1500, 2_000_000
 
 
 def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
@@ -115,44 +117,86 @@ def _confirm(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _sets_of(wanted: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``id, shingles`` of the documents whose id is in ``wanted`` (distinct)."""
     texts = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id").alias("hash"))
     texts = KeyFilter.build(wanted.select(F.xxhash64("id").alias("hash"))).keep(texts, "hash").drop("hash")
-    sets = materialise(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), "sets")
+    return materialise(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, width)
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
             .mapInArrow(_confirm(percent), "a long, b long").distinct())
 
 
-def _may_reach(percent: int):
-    """Pairs of a block (or of two blocks) of one bucket that may reach the threshold.
+def _in_blocks(rows: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` once for each pair of blocks that they take part in; ``blocks`` has the
+    number of blocks of each group."""
+    cut = rows.join(blocks, group).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = [F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side")]
+    return cut.select(*rows.columns, *keys)
+
+
+def _linked(percent: int, exact: bool):
+    """One edge per member of a pair of blocks: to the least member that it reaches.
 
-    Short signatures agree by the similarity plus 1/256. The margin below the
-    threshold is over five standard deviations, wider for small sets.
+    Two members link if they are of different components, their sizes allow the
+    threshold and their short signatures may reach it (they agree by the similarity
+    plus 1/256; the margin is about five standard deviations, more for small sets).
+    ``exact`` also asks their full sets.
     """
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.side == 0], rows[rows.side == 1]
-        own = len(right) == 0
+        own = rows["low"].iloc[0] == rows["high"].iloc[0]
         right = left if own else right
-        found: list[np.ndarray] = []
-        if len(left) and len(right):
-            ids, more = left["rep"].to_numpy(), right["rep"].to_numpy()
-            sig_a = np.stack([np.frombuffer(x, np.uint8) for x in left["signature"]])
-            sig_b = np.stack([np.frombuffer(x, np.uint8) for x in right["signature"]])
-            n_a, n_b = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-            c_a, c_b = left["component"].to_numpy(), right["component"].to_numpy()
-            for k in range(len(ids)):
-                low, high = np.minimum(n_a[k], n_b), np.maximum(n_a[k], n_b)
-                try_ = np.flatnonzero((100 * low >= percent * high) & (c_a[k] != c_b) & ((ids[k] < more) if own else True))
-                if len(try_):
-                    same = (sig_b[try_] == sig_a[k]).mean(axis=1)
-                    least = percent / 100 - np.where(low[try_] < 300, 0.4, 0.2)
-                    hit = more[try_[same >= least]]
-                    found.append(np.stack([np.minimum(ids[k], hit), np.maximum(ids[k], hit)], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        n = len(left)
+        ids = np.concatenate([left["rep"].to_numpy(), right["rep"].to_numpy()])
+        sig_a, sig_b = (np.stack([np.frombuffer(x, np.uint8) for x in side["signature"]]) for side in (left, right))
+        n_a, n_b = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
+        c_a, c_b = left["component"].to_numpy(), right["component"].to_numpy()
+        if exact:
+            sets = [np.frombuffer(x, np.uint64) for x in [*left["shingles"], *right["shingles"]]]
+            codes, vocabulary = pd.factorize(np.concatenate(sets))
+            begin = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+            seen = np.zeros(len(vocabulary), bool)
+        i, j = [], []
+        for k in range(n):
+            low, high = np.minimum(n_a[k], n_b), np.maximum(n_a[k], n_b)
+            fits = (100 * low >= percent * high) & (c_a[k] != c_b)
+            if own:
+                fits[:k + 1] = False
+            at = np.flatnonzero(fits)
+            at = at[(sig_b[at] == sig_a[k]).mean(axis=1) >= percent / 100 - np.where(low[at] < 300, 0.4, 0.2)]
+            if exact and len(at):
+                mine = codes[begin[k]:begin[k + 1]]
+                seen[mine] = True
+                sizes = n_b[at]
+                ends = np.cumsum(sizes)
+                flat = np.repeat(begin[n + at] - (ends - sizes), sizes) + np.arange(ends[-1])
+                common = np.add.reduceat(seen[codes[flat]], ends - sizes, dtype=np.int64)
+                seen[mine] = False
+                at = at[100 * common >= percent * (n_a[k] + sizes - common)]
+            i.append(np.full(len(at), k))
+            j.append(n + at)
+        i, j = np.concatenate(i), np.concatenate(j)
+        root = ids.copy()
+        twins = np.arange(n)
+        while True:
+            before = root.copy()
+            np.minimum.at(root, i, root[j])
+            np.minimum.at(root, j, root[i])
+            if own:  # each member stands on both sides
+                root[:n] = root[n:] = np.minimum(root[twins], root[n + twins])
+            if (root == before).all():
+                break
+        moved = root != ids
+        return pd.DataFrame({"a": ids[moved], "b": root[moved]}).drop_duplicates()
 
     return run
 
@@ -195,19 +239,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     # What the stars leave open: buckets whose members, the centre aside, are not all in one component.
     now = members.where("rep <> centre.rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .withColumn("component", F.coalesce("component", "rep"))
-    now = materialise(now.select("bucket", "size", "rep", "n_shingles", "component"), "rest")
+    now = materialise(now.select("bucket", "rep", "n_shingles", "component"), "rest")
     split = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     rest = now.join(split, "bucket", "left_semi").join(classes.select("rep", "signature"), "rep")
-    # Blocks of bounded size; each pair of blocks of a bucket is one group.
-    rest = rest.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")) \
-        .withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    cells = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
-                "rep", "n_shingles", "component", "signature")
-    more = cells.groupBy("bucket", "low", "high").applyInPandas(_may_reach(percent), "a long, b long").distinct()
-    more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_confirmed(more, docs, width, percent))
+    blocks = rest.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rest = _in_blocks(rest.select("bucket", "rep", "n_shingles", "component", "signature"), "bucket", blocks)
+    like = rest.groupBy("bucket", "low", "high").applyInPandas(_linked(percent, exact=False), "a long, b long").distinct()
+    cluster = materialise(components(like).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
+    whole = cluster.join(classes.select("rep", "n_shingles", "signature"), "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
+        .join(_sets_of(cluster.select(F.col("rep").alias("id")), docs, width).withColumnRenamed("id", "rep"), "rep") \
+        .select("cluster", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"), "signature", "shingles")
+    whole = materialise(whole, "whole")
+    blocks = whole.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    more = _in_blocks(whole, "cluster", blocks).groupBy("cluster", "low", "high").applyInPandas(_linked(percent, exact=True), "a long, b long")
+    links = links.union(materialise(more, "links"))
 
     found = components(links.union(same_id))
     return (sketches.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -58,7 +58,7 @@ class WaveletMatrix:
             planes.append(packed)
             directory.append(np.concatenate([[0], np.cumsum(per_step)]).astype("<u4"))
             zeros.append(len(bit) - int(directory[-1][-1]))
-            now = np.concatenate([now[~bit], now[bit]])
+            now = np.concatenate([now.compress(~bit), now.compress(bit)])
         return cls(len(ids), planes, np.array(zeros, "<u8"), directory)
 
     def _ones(self, level: int, at: int) -> int:
@@ -114,8 +114,8 @@ class WaveletMatrix:
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             zeros = int(self.zeros[level])
             before = np.empty_like(now)
-            before[~bit] = now[:zeros]
-            before[bit] = now[zeros:] | now.dtype.type(1 << power)
+            before[np.flatnonzero(~bit)] = now[:zeros]
+            before[np.flatnonzero(bit)] = now[zeros:] | now.dtype.type(1 << power)
             now = before
         return now
 
