@@ -1,0 +1,467 @@
+"""Each operator against a brute-force version, and on NULLs, empty and long texts,
+ties, repeated rows, empty tables and clashing extra columns."""
+
+import hashlib
+import json
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tierlake.llm import minhash, mixing, pii, quality, quotes, rptree, tiling, toxicity, url_filter, wavelet
+from tierlake.llm.common import table
+from tierlake.llm.graph import components
+from tierlake.llm.queries import QUERIES, tokenizer_path
+from tierlake.llm.text import shingle_sets, words_of
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts, schema=DOCS):
+    return spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], schema)
+
+
+def edge_cases(spark):
+    """NULLs in every column, empty and very long texts, repeated rows and ids, clashing extra columns."""
+    rows = [(1, "a b c d e f g", "en", "s", 1, "x", 1), (1, "a b c d e f g", "en", "s", 1, "x", 1), (2, None, None, None, None, None, None), (3, "", "en", "s", 0, "", 0),
+            (None, "a b c d e f g", "en", None, 7, "y", 2), (4, "word " * 60_000, "en", "s", 0, "z", 3), (5, "x" * 200_000, "en", "s", 0, "z", 3),
+            (6, "é ü 😀 mail a.b@c.de", "de", "t", 0, None, None), (1, "another text of the same id", "en", "s", 0, "", 0)]
+    return spark.createDataFrame(rows, DOCS + ", component_id string, replica int")
+
+
+# -- helpers ---------------------------------------------------------------
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (5, 5), (None, 4), (10, 1), (20, 21), (21, 22), (22, 23), (23, 24), (24, 20)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 8: 8, 9: 8, 20: 20, 21: 20, 22: 20, 23: 20, 24: 20}
+    assert components(edges.limit(0)).count() == 0
+
+
+def test_words_and_shingles():
+    texts = ["Ab  c\tD\n", "", None, "é É x", "one"]
+    _, _, _, hashes, first = words_of(pa.array(texts))
+    assert np.diff(first).tolist() == [3, 0, 0, 3, 1]
+    assert hashes[3] != hashes[4]  # only A-Z is folded
+    same = words_of(pa.array(["ab C d"]))[3]
+    assert (same == hashes[:3]).all()
+    assert [len(s) for s in shingle_sets(hashes, first, 2)] == [2, 0, 0, 2, 1]
+
+
+# -- 9 MinHash ---------------------------------------------------------------
+
+
+def brute_shingles(text, width):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    if not words:
+        return set()
+    return {tuple(words[k:k + width]) for k in range(len(words) - width + 1)} if len(words) >= width else {tuple(words)}
+
+
+def brute_groups(rows, width, percent=80):
+    sets = [(i, brute_shingles(t, width)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_minhash_equals_brute_force(spark, width):
+    docs = table(spark, SF_SMALL, "documents")
+    rows = [(r[0], r[1]) for r in docs.select("doc_id", "text").collect()]
+    want = brute_groups(rows, width)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs, width=width).collect()}
+    assert got == want
+
+
+def test_minhash_links_that_a_star_misses(spark):
+    # 2 and 3 are alike but neither is like 1, the centre of their shared buckets.
+    common = [f"w{k}" for k in range(300)]
+    one = common[:230] + [f"a{k}" for k in range(70)]
+    two = common + [f"b{k}" for k in range(3)]
+    three = common[:297] + [f"c{k}" for k in range(4)]
+    docs = docs_of(spark, [(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(three)), (4, " ".join(reversed(one)))])
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, width=2, block=2).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 4}
+
+
+def test_minhash_edge_cases(spark):
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(edge_cases(spark), width=2).collect())
+    assert got == [(1, 5, 1), (1, 6, 1), (1, 6, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 5), (6, 4, 6)]
+    assert minhash.near_duplicates(edge_cases(spark).limit(0)).count() == 0
+    kept = minhash.drop_near_duplicates(docs_of(spark, [(7, "a b c d e f"), (3, "a b c d e f"), (9, None)]))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
+
+
+# -- 2 random-projection forest -----------------------------------------------
+
+
+def test_forest_equals_brute_force_with_small_leaves(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(60, 16))
+    x = np.concatenate([base, base + 0.08 * draw.normal(size=base.shape), base[:10], np.repeat(base[:1], 30, 0) + 0.05 * draw.normal(size=(30, 16))])
+    label = draw.integers(0, 2, len(x))
+    label[60:120], label[120:130], label[130:] = label[:60], label[:10], label[0]
+    frame = spark.createDataFrame([(k, x[k].tolist(), int(label[k])) for k in range(len(x))], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in rptree.near_vectors(frame, trees=8, spill=0.15, leaf=12, block=7).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :]) & ~np.eye(len(x), dtype=bool)
+    found = sum(r["n_links"] for r in got.values())
+    assert all(r["n_links"] <= hit[v].sum() for v, r in got.items())
+    assert found >= 0.9 * hit.sum()
+    exact = {r["vec_id"]: r["n_links"] for r in rptree.near_vectors(frame, leaf=1000).collect()}
+    assert exact == {v: int(hit[v].sum()) for v in range(len(x))}
+
+
+def test_forest_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0], 0, "x"), (2, [2.0, 0.0], 0, "x"), (3, [1.0, 0.1], 0, None), (4, [1.0, 0.0], 1, "x"), (5, [1.0, 0.0], None, "x"), (6, None, 0, "x"),
+            (7, [0.0, 0.0], 0, "x"), (8, [nan, 1.0], 0, "x"), (9, [inf, 1.0], 0, "x"), (10, [1.0, None], 0, "x"), (11, [], 0, "x"), (12, [1.0], 0, "x"),
+            (13, [1e300, 0.0], 0, "x"), (14, [1e-300, 0.0], 0, "x"), (None, [1.0, 0.0], 0, "x"), (2, [2.0, 0.0], 0, "x")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, component_id string")
+    got = sorted((r["vec_id"] if r["vec_id"] is not None else -1, r["n_links"], r["component_id"]) for r in rptree.near_vectors(frame).collect())
+    linked = {1, 2, 3, 13, 14}
+    assert got == sorted([(v, 5, 1) if v in linked else (v, 0, v) for v in [*range(1, 15), 2]] + [(-1, 0, None)], key=lambda r: (r[0], r[1], r[2] or 0))
+    assert rptree.near_vectors(frame.limit(0)).count() == 0
+
+
+# -- 3 string tiling -----------------------------------------------------------
+
+
+def test_tiles_are_longest_first_and_apart():
+    # Item words 0-9 stand at document places 10-19, its words 4-12 at 50-58.
+    seeds = [(i, i + 10) for i in range(6)] + [(i, i + 46) for i in range(4, 9)]
+    assert tiling.tiles(seeds, 5) == [(0, 10, 10)]
+    assert tiling.tiles(seeds, 3) == [(0, 10, 8), (8, 54, 3)]
+    assert tiling.tiles([], 5) == []
+
+
+def test_decontamination_finds_passages_and_reordered_ones(spark):
+    item = "the quick brown fox jumps over the lazy dog while seven wise owls watch from an old oak tree nearby"
+    words = item.split()
+    swapped = " ".join(words[10:] + words[:10])
+    clean = "nothing of that kind is here but the quick brown fox alone and other words of no interest at all to anyone"
+    docs = docs_of(spark, [(1, "Before. " + item.upper() + "! after"), (2, "x y " + swapped + " z"), (3, clean), (4, None), (5, ""), (None, item), (7, " ".join(words[:8])), (8, item), (8, item)])
+    bench = spark.createDataFrame([(10, item), (11, item), (12, None), (13, "..."), (14, "two words")], "item_id long, text string")
+    got = sorted((r["doc_id"] or -1, r["item_id"], round(r["coverage"], 3), len(r["tiles"])) for r in tiling.contaminated(docs, bench).collect())
+    assert got == [(-1, 10, 1.0, 1), (1, 10, 1.0, 1), (2, 10, 1.0, 2), (8, 10, 1.0, 1)]
+    kept = tiling.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 7]
+    assert tiling.contaminated(docs.limit(0), bench).count() == 0
+    assert tiling.contaminated(docs, bench.limit(0)).count() == 0
+    assert tiling.contaminated(edge_cases(spark), bench).count() == 0
+
+
+def test_decontamination_finds_every_verbatim_item(spark):
+    docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
+
+    def tokens(text):
+        return " " + " ".join(re.findall(r"[^\W_]+", text.lower())) + " "
+
+    items = [(r["item_id"], tokens(r["text"])) for r in bench.collect()]
+    want = {(r["doc_id"], i) for r in docs.collect() for i, t in items if t in tokens(r["text"] or "")}
+    got = {(r["doc_id"], r["item_id"]) for r in tiling.contaminated(docs, bench).collect()}
+    assert want <= got and len(got) <= len(want) + 2
+
+
+# -- 6 wavelet shards ------------------------------------------------------------
+
+
+def test_wavelet_matrix_access_rank_select():
+    draw = np.random.default_rng(0)
+    for ids in (draw.integers(0, 50_000, 3000), draw.integers(0, 3, 1500), np.zeros(5, int), np.array([], int), np.array([1 << 20, 5, 1 << 20])):
+        image = wavelet.pack_shard([1, None], [len(ids), 0], ids.astype(np.uint32))
+        docs, lengths, m = wavelet.open_shard(image)
+        assert docs == [1, None] and lengths.tolist() == [len(ids), 0]
+        assert m.values().tolist() == ids.tolist()
+        for at in range(0, len(ids), 97):
+            value = int(ids[at])
+            assert m.access(at) == value
+            assert m.rank(value, at) == int((ids[:at] == value).sum())
+            assert m.select(value, m.rank(value, at)) == at
+        assert m.count(1 << 30) == 0
+
+
+def test_token_shards_equal_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    special = docs_of(spark, [(100_000, "a<|endoftext|>b <|ENDOFTEXT|>  c"), (100_001, "it's\u00a0x\u0301 ΟΔΟΣ=\u0338 don't,stop ... 12a3 İz"), (100_002, None), (100_003, ""), (-5, "first")])
+    docs = table(spark, SF_SMALL, "documents").union(special)
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    path = wavelet.new_shard_path(spark)
+    wavelet.write_token_shards(docs, tokenizer_path(), path, shard_tokens=20_000)
+    got = sorted(tuple(r) for r in wavelet.token_digests(spark, path).collect())
+    want, start, all_ids = [], 0, []
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+        all_ids += ids
+    assert got == want
+    token = int(np.bincount(all_ids).argsort()[-5])
+    places = sorted(r["position"] for r in wavelet.occurrences(spark, path, token).collect())
+    assert places == np.flatnonzero(np.array(all_ids) == token).tolist()
+
+
+def test_token_shards_edge_cases(spark):
+    for frame, n in ((edge_cases(spark), 9), (edge_cases(spark).limit(0), 0)):
+        path = wavelet.new_shard_path(spark)
+        wavelet.write_token_shards(frame, tokenizer_path(), path)
+        got = wavelet.token_digests(spark, path).orderBy("start").collect()
+        assert len(got) == n
+        assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+        if n:
+            assert got[0]["doc_id"] is None and got[0]["start"] == 0
+
+
+# -- 7 mixing ------------------------------------------------------------------
+
+
+def test_replication_draws_poisson_quantiles(spark):
+    rows = [(i, f"t{i}", "en", "big" if i % 4 else "small", 1) for i in range(4000)] + [(9000, "n", "en", None, 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    aims = spark.createDataFrame([("big", 1.0), ("small", 3.0)], "source string, weight double")
+    out = mixing.replicate(docs, aims).groupBy("source").count().collect()
+    n = {r["source"]: r["count"] for r in out}
+    assert None not in n and abs(n["small"] / (n["small"] + n["big"]) - 0.75) < 0.03
+    got = {r["doc_id"]: r["n"] for r in mixing.replicate(docs, aims).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    rate = {r["source"]: r["rate"] for r in mixing.rates(docs, aims).collect()}
+    for i in range(0, 4000, 7):
+        u = int(hashlib.md5(f"42:{i}:1".encode()).hexdigest()[:13], 16) / 2**52
+        p = c = math.exp(-rate["big" if i % 4 else "small"])
+        k = 0
+        while c <= u:
+            k += 1
+            p = p * rate["big" if i % 4 else "small"] / k
+            c += p
+        assert got.get(i, 0) == k
+
+
+def test_replication_edge_cases(spark):
+    out = mixing.replicate(edge_cases(spark), total=90_000)
+    assert out.columns == [c for c in edge_cases(spark).columns if c != "replica"] + ["replica"]
+    assert out.count() > 50_000  # rates above MOST_RATE are sums of draws
+    assert mixing.replicate(edge_cases(spark).limit(0)).count() == 0
+    small = mixing.replicate(edge_cases(spark)).drop("text").collect()
+    assert small == mixing.replicate(edge_cases(spark)).drop("text").collect()
+
+
+# -- 1 toxicity, 8 quality --------------------------------------------------------
+
+
+def test_ordinal_thresholds_are_ordered_and_shared():
+    draw = np.random.default_rng(1)
+    x = draw.random((3000, 4)) < 0.4
+    grade = np.searchsorted([1, 2, 3], x @ np.array([1, 1, 1, 0]), side="right")
+    rows, cols = np.nonzero(x)
+    model = toxicity.OrdinalModel.fit(np.arange(4, dtype=np.uint64), rows, cols, grade)
+    assert (np.diff(model.thresholds) > 0).all()
+    assert model.weights[:3].min() > 2 and abs(model.weights[3]) < 1
+
+
+def test_toxicity_on_labelled_rows_outside_the_sample(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    model = toxicity.fit(docs, labels.where("doc_id % 4 <> 0"))
+    rows = toxicity.score(docs, model).join(labels.where("doc_id % 4 = 0"), "doc_id").collect()
+    right = [r["toxic"] == (labels_of == 1) for r in rows for labels_of in [r[-1]]]
+    assert sum(right) >= 0.95 * len(right)
+    assert all(0 <= r["severity"] <= 3 for r in rows)
+
+
+def test_toxicity_edge_cases(spark):
+    docs = edge_cases(spark)
+    for labels in ([(1, 1), (3, 0), (3, 1), (4, 0), (None, 1), (5, None), (77, 1)], [(1, 0)], []):
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        assert toxicity.score(docs, model).count() == docs.count()
+        assert toxicity.drop_toxic(docs, model).columns == docs.columns
+        assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_quality_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = QUERIES["op8_quality"](spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out").collect()
+    assert rows and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert sum(r["predicted"] == r["quality"] for r in rows) >= 0.95 * len(rows)
+
+
+def test_quality_edge_cases(spark):
+    docs = edge_cases(spark)
+    for labels in ([(1, 1), (2, 0), (3, 0), (3, 1), (4, 0), (6, 1), (None, 0), (5, None)], [(1, 1)], []):
+        rows = quality.quality(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+        assert len(rows) == docs.count()
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    assert quality.quality(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_isotonic_is_the_least_squares_ascending_fit():
+    got = quality.isotonic(np.arange(5), np.array([1.0, 0, 3, 1, 4]), np.array([2.0, 2, 4, 4, 4]))
+    assert got.tolist() == [0.25, 0.25, 0.5, 0.5, 1.0]
+
+
+# -- 4 urls -----------------------------------------------------------------------
+
+
+def brute_url(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    host = host.translate({c: c + 32 for c in range(65, 91)})
+    fits = [r for r in url_filter.RULES if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_urls_follow_the_rules(spark):
+    odd = [None, "", "no scheme", "http://", "HTTP://A.ORG", "http://a.org/", "x://Example.ORG/en/12?q#f", "http://example.org/es", "http://example.org/es/1", "http://myexample.org/es/1",
+           "http://a.com/fr/x", "http://com/de/#", "http://a.com?x=/de/", "http://É.com/de/", "a://b://c.org/", "http://a.org/?" + "p=1&" * 30_000, "http://u@h:80/p"]
+    pages = table(spark, SF_SMALL, "pages").select("page_id", "url").union(spark.createDataFrame([(10**6 + k, u) for k, u in enumerate(odd)], "page_id long, url string"))
+    rows = url_filter.judge(pages.withColumn("host", F.lit(1))).join(pages, "page_id").collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        assert (r["host"], r["path"], r["rule"]) == brute_url(r["url"]), r["url"]
+        assert r["verdict"] == url_filter.RULES[r["rule"]] if r["rule"] else r["verdict"] in ("allow", "block")
+    assert url_filter.judge(pages.limit(0)).count() == 0
+    assert {r["verdict"] for r in url_filter.judge(pages, rules={}).collect()} == {"allow"}
+
+
+def test_boosted_trees_learn_blocked_urls(spark):
+    def url(k):
+        return f"http://www.site{k % 9}.com/{'de' if k % 2 else 'fr'}/" + ("x1y2z3" * 9 if k % 2 else "page") if k < 300 else f"http://www.other{k % 9}.net/" + ("q7r8s9" * 9 if k % 2 else "text")
+    pages = spark.createDataFrame([(k, url(k)) for k in range(400)], "page_id long, url string")
+    rows = url_filter.judge(pages).where("rule IS NULL").collect()
+    assert len(rows) == 100 and all((r["verdict"] == "block") == (r["page_id"] % 2 == 1) for r in rows)
+
+
+# -- 5 quotes -----------------------------------------------------------------------
+
+
+def test_quotes_are_linked_and_removed(spark):
+    rows = [(1, 0, "user", "How do I sort\nin Spark?"), (1, 1, "assistant", "> How do I SORT\n>  in Spark?\n\nUse orderBy."), (1, 2, "user", ">> How do I sort\n>> in Spark?\n> Use orderBy.\nThanks"),
+            (1, 3, "user", "> never said\nwhat"), (2, 0, "user", "> Use orderBy.\nx"), (2, 1, "user", "> how do i sort in spark?\ny"), (3, 0, "u", None), (3, 1, "u", ""), (None, 1, "u", "> a"), (3, None, "u", "> b\nc"),
+            (4, 0, "u", "> I quote what comes later"), (4, 1, "u", "I quote what comes later"), (4, 1, "u", "I quote what comes later")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("depth", F.lit("x"))
+    out = quotes.link_quotes(frame).collect()
+    got = {(r["conv_id"], r["turn"]): (r["text"], r["n_quotes"], r["n_linked"], r["reply_conv"], r["reply_turn"], r["thread_conv"], r["thread_turn"], r["depth"]) for r in out}
+    assert len(out) == len(rows)
+    assert got[1, 1] == ("Use orderBy.", 1, 1, 1, 0, 1, 0, 1)
+    assert got[1, 2] == ("Thanks", 2, 2, 1, 1, 1, 0, 2)
+    assert got[1, 3] == ("what", 1, 0, None, None, 1, 3, 0)
+    assert got[2, 0] == ("x", 1, 0, None, None, 2, 0, 0)  # too short for other conversations
+    assert got[2, 1] == ("y", 1, 1, 1, 0, 1, 0, 1)
+    assert got[3, 0] == (None, 0, 0, None, None, 3, 0, 0) and got[3, 1][0] == ""
+    assert got[None, 1][:3] == ("", 1, 0) and got[3, None][:3] == ("c", 1, 0)
+    assert got[4, 0] == ("", 1, 0, None, None, 4, 0, 0)
+    assert quotes.link_quotes(frame.limit(0)).count() == 0
+
+
+def test_long_chains_of_answers(spark):
+    rows = [(1, k, "u", f"> message number {k - 1}\nmessage number {k}" if k else "message number 0") for k in range(40)]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["turn"], r["depth"], r["thread_turn"]) for r in out) == [(k, k, 0) for k in range(40)]
+
+
+def test_quotes_of_the_given_table(spark):
+    rows = table(spark, SF_SMALL, "conversations")
+    out = quotes.link_quotes(rows)
+    key = ["conv_id", "turn", "role", "text"]
+    assert out.count() == rows.count()
+    assert rows.where("text NOT LIKE '%>%'").select(key).exceptAll(out.select(key)).count() == 0
+
+
+# -- 10 personal data -----------------------------------------------------------------
+
+FORMS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def brute_spans(text):
+    def luhn(digits):
+        return sum(d if k % 2 == 0 else 2 * d - 9 * (d > 4) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+    out = []
+    for kind, form in FORMS:
+        for m in re.finditer(form, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if {"email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m.group().split(".")), "card": lambda: 13 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 9 <= len(digits) <= 15}[kind]():
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_the_plain_forms(spark):
+    odd = ["a@b.c_d@e.f a@b @c.d x@y.z.w. 😀q.r%s+t-u@v-w.x", "1.2.3.4.5 256.1.1.1 001.02.3.255 1..2.3.4.5 9.9.9.9999", "4111 1111-1111 1111 41111111111111112 4111  1111 1111 1111",
+           "+1 (514) 555-8389 +12 +1............2 +123456789012345678 ++4420 7946 0018.", "a" * 60_000, "1 " * 30_000, "1.2.3.4 " * 3000, "a@b." * 5000 + "c", "+1" + " " * 20_000, None, "", "é\n4111111111111111\té@é.é"]
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text").union(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    rows = pii.personal_data(docs).join(docs, "doc_id").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        spans = brute_spans(r["text"] or "")
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest(), (r["doc_id"], line[:200])
+        assert [r[f"n_{k}"] for k, _ in FORMS] == [sum(s[0] == k for s in spans) for k, _ in FORMS]
+        assert set(line.split(",")) <= set(r["spans"].split(","))
+
+
+def test_context_finds_unseen_identifiers(spark):
+    rows = [(k, f"please call me at +1 (514) 555-{1000 + k} for more, version {k}.0 is out") for k in range(20)]
+    rows += [(100, "please call me at 555-0199 for more"), (101, "please meet me near 555-0198 for less"), (102, "call me at 555-0199 now"), (102, "call me at 555-0199 now")]
+    out = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100]["spans"] == "phone:18:26" and out[100]["n_added"] == 1 and out[100]["n_phone"] == 0
+    assert out[101]["n_added"] == 0 and out[3]["n_added"] == 0 and out[102]["spans"] == "phone:11:19"
+
+
+def test_personal_data_edge_cases(spark):
+    out = pii.personal_data(edge_cases(spark))
+    assert out.count() == 9 and out.where("doc_id IS NULL").count() == 1
+    assert pii.personal_data(edge_cases(spark).limit(0)).count() == 0
+    plan = out._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# -- pipeline ---------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    docs = table(spark, SF_SMALL, "documents")
+    columns = docs.columns
+    counts = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF_SMALL).collect(), docs.schema)
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > counts[2] > counts[3] > 0
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).orderBy("start").collect()
+    assert len(out) == counts[-1]
+    assert [r["doc_id"] for r in out] == sorted(r["doc_id"] for r in docs.collect())
+    assert len(json.dumps([n for n, _ in corpus_pipeline.STAGES])) > 0
+
+
+def test_pipeline_stages_on_edge_cases(spark):
+    import corpus_pipeline
+
+    for frame in (edge_cases(spark), edge_cases(spark).limit(0)):
+        docs = frame
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF_SMALL)
+        assert set(docs.columns) == set(frame.columns)
+        corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count()

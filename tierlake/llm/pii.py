@@ -64,23 +64,37 @@ def _valid(kind: str, match: Column) -> Column:
     return F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: an expression named inside a lambda is
+    otherwise computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _starts(gaps: Column, matches: Column) -> Column:
     """Start of each match, from the lengths of the gaps before and the matches.
 
     Prefix sums in blocks, so that a text with very many matches stays near linear.
     """
     block = 256
-    n = F.size(matches)
-    long = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.length(F.get(gaps, i)) + F.length(F.get(matches, i)))
 
     def total(a: Column) -> Column:
         return F.aggregate(a, F.lit(0), lambda x, y: x + y)
 
-    sums = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")),
-                       lambda b: total(F.slice(long, b * block + 1, F.lit(block))))
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: (
-        total(F.slice(sums, F.lit(1), F.floor(i / block).cast("int"))) + total(F.slice(long, F.floor(i / block).cast("int") * block + 1, i % block))
-        + F.length(F.get(gaps, i))).cast("long"))
+    def sums(long: Column) -> Column:
+        last = F.floor((F.size(long) - 1) / block).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: total(F.slice(long, b * block + 1, F.lit(block))))
+
+    def starts(t: Column) -> Column:
+        def start(gap: Column, i: Column) -> Column:
+            b = F.floor(i / block).cast("int")
+            return (total(F.slice(t["sums"], F.lit(1), b)) + total(F.slice(t["long"], b * block + 1, i % block)) + gap).cast("long")
+
+        return F.transform(t["gaps"], start)
+
+    gap_lengths = F.transform(F.slice(gaps, F.lit(1), F.size(matches)), lambda g: F.length(g))
+    long = F.zip_with(gap_lengths, matches, lambda g, m: g + F.length(m))
+    return _let(F.struct(gap_lengths.alias("gaps"), long.alias("long")), lambda t: _let(
+        F.struct(t["gaps"].alias("gaps"), t["long"].alias("long"), sums(t["long"]).alias("sums")), starts))
 
 
 def _with_matches(df: DataFrame, name: str, form: str, hint: Column) -> DataFrame:
@@ -117,23 +131,28 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("base", F.concat(*[_spans(k) for k in KINDS]))
     rows = _with_matches(rows, "token", CANDIDATE, digit | F.contains(F.col("_text"), F.lit("@")))
 
-    def candidate(i: Column) -> Column:
-        token, gap, after = F.get("token_m", i), F.get("token_g", i), F.get("token_g", i + 1)
+    def candidate(t: Column, i: Column) -> Column:
+        token, gap, after = F.get(t["m"], i), F.get(t["g"], i), F.get(t["g"], i + 1)
         lead = F.length(token) - F.length(F.ltrim(token, F.lit(EDGES)))
         value = F.trim(token, F.lit(EDGES))
         left, right = _flat(F.right(gap, F.lit(4 * CONTEXT))), _flat(F.left(after, F.lit(4 * CONTEXT)))
-        two, one, next_ = F.substring_index(left, " ", -2), F.substring_index(left, " ", -1), F.substring_index(right, " ", 1)
-        start = F.get("token_s", i) + lead
-        span = F.get(F.filter("base", lambda b: (b["start"] < start + F.length(value)) & (b["end"] > start)), 0)
+        start = F.get(t["s"], i) + lead
+        parts = F.struct(token.alias("token"), value.alias("value"), start.alias("start"), (start + F.length(value)).alias("end"),
+                         F.substring_index(left, " ", -2).alias("two"), F.substring_index(left, " ", -1).alias("one"), F.substring_index(right, " ", 1).alias("next"))
+        return _let(parts, lambda c: _let(F.struct(c.alias("c"), F.get(F.filter(t["base"], lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])), F.lit(0)).alias("span")), described))
+
+    def described(x: Column) -> Column:
+        c, span = x["c"], x["span"]
         return F.struct(
-            F.coalesce(span["start"], start).alias("start"), F.coalesce(span["end"], start + F.length(value)).alias("end"),
-            F.coalesce(span["value"], value).alias("value"), span["kind"].alias("kind"),
-            (span.isNull() | ((span["start"] >= start) & (span["start"] < start + F.length(value)))).alias("first"),
-            F.filter(F.array(F.when(F.contains(two, F.lit(" ")), F.concat(F.lit("2:"), F.right(two, F.lit(CONTEXT)))),
-                             F.when((one != "") & (next_ != ""), F.concat(F.lit("1:"), F.right(one, F.lit(CONTEXT)), F.lit(" _ "), F.left(next_, F.lit(CONTEXT))))),
+            F.coalesce(span["start"], c["start"]).alias("start"), F.coalesce(span["end"], c["end"]).alias("end"),
+            F.coalesce(span["value"], c["value"]).alias("value"), span["kind"].alias("kind"),
+            (span.isNull() | ((span["start"] >= c["start"]) & (span["start"] < c["end"]))).alias("first"),
+            F.filter(F.array(F.when(F.contains(c["two"], F.lit(" ")), F.concat(F.lit("2:"), F.right(c["two"], F.lit(CONTEXT)))),
+                             F.when((c["one"] != "") & (c["next"] != ""), F.concat(F.lit("1:"), F.right(c["one"], F.lit(CONTEXT)), F.lit(" _ "), F.left(c["next"], F.lit(CONTEXT))))),
                      lambda p: p.isNotNull()).alias("patterns"))
 
-    found = F.when(F.size("token_m") > 0, F.transform(F.sequence(F.lit(0), F.size("token_m") - 1), candidate))
+    all_ = F.struct(F.col("token_m").alias("m"), F.col("token_g").alias("g"), F.col("token_s").alias("s"), F.col("base").alias("base"))
+    found = F.when(F.size("token_m") > 0, _let(all_, lambda t: F.transform(F.sequence(F.lit(0), F.size(t["m"]) - 1), lambda i: candidate(t, i))))
     rows = rows.withColumn("candidates", F.filter(found, lambda c: c["first"] & (F.length(c["value"]) >= 5)))
     return rows.select("doc_id", "key", F.transform("base", lambda b: b.dropFields("value")).alias("base"),
                        F.transform("candidates", lambda c: c.dropFields("first")).alias("candidates"))

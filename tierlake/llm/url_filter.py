@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tierlake.llm.common import materialise, small_side, uniform
 
@@ -47,7 +48,7 @@ def matching_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return result
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _entropy(texts: pd.Series) -> pd.Series:
     """Bits per byte."""
     def of(text: str | None) -> float:
