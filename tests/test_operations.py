@@ -20,14 +20,16 @@ def d(day):
 def test_operations_log_table(spark, workdir):
     log = OperationsLog(spark, f"{workdir}/log", keep_versions=2)
     log.log_status("a.parquet", "u/a", "failed", d(1), "timeout")
-    log.log_status("a.parquet", "u/a", "failed", d(2), "again")   # file known: not inserted
+    log.log_status("a.parquet", "u/a", "failed", d(2), "again")   # a later attempt
     log.log_status("b.parquet", "u/b", "failed", d(1), "it's broken")
-    assert log.read().count() == 2
-    assert log.failed_count("a.parquet") == 1
-    log.record([("b.parquet", "u/b", "failed", d(3), "x"), ("c.parquet", "u/c", "ok", d(3), "")])
     assert log.read().count() == 3
+    assert log.failed_count("a.parquet") == 2
+    log.record([("b.parquet", "u/b", "failed", d(3), "x"), ("c.parquet", "u/c", "ok", d(3), "")])
+    assert log.read().count() == 4    # b was known: not inserted
     log.deduplicate()
     assert {r.fileName for r in log.retry_candidates().collect()} == {"a.parquet", "b.parquet"}
+    log.log_status("a.parquet", "u/a", "done", d(4))    # clears the failure
+    assert {r.fileName for r in log.retry_candidates().collect()} == {"b.parquet"}
     assert len(log.table._versions()) == 2
 
 

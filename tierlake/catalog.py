@@ -46,7 +46,8 @@ from tierlake.sources.fixtures import (
 
 # Fixed parameters of the test queries.
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"      # clocks of batch b1, b2
-LOG_BEFORE, LOG_FROM = "2024-01-02 00:00:00", "2024-01-20 00:00:00"
+# Every event is on one side: logged before, or new from then on.
+LOG_CUT = "2024-01-10 00:00:00"
 PROBE_FILE = "file_8"
 TOP_N = 10
 
@@ -147,8 +148,8 @@ def q_log_failed_count(spark, sf):
 
 def q_log_insert_if_absent(spark, sf):
     log = _oplog(spark, sf)
-    existing = log.where(F.col("updated_date") < ntz_literal(LOG_BEFORE))
-    new = log.where(F.col("updated_date") >= ntz_literal(LOG_FROM))
+    existing = log.where(F.col("updated_date") < ntz_literal(LOG_CUT))
+    new = log.where(F.col("updated_date") >= ntz_literal(LOG_CUT))
     return oplog.append_if_absent(existing, new)
 
 
@@ -322,8 +323,8 @@ ORDER BY id, year, month, day LIMIT {TOP_N}""",
     "log_failed_count": f"""WITH {_OPLOG}
 SELECT count(*) AS failed_count FROM ol WHERE fileName = '{PROBE_FILE}' AND status = 'failed'""",
     "log_insert_if_absent": f"""WITH {_OPLOG},
-old AS (SELECT * FROM ol WHERE updated_date < TIMESTAMP '{LOG_BEFORE}'),
-new AS (SELECT * FROM ol WHERE updated_date >= TIMESTAMP '{LOG_FROM}')
+old AS (SELECT * FROM ol WHERE updated_date < TIMESTAMP '{LOG_CUT}'),
+new AS (SELECT * FROM ol WHERE updated_date >= TIMESTAMP '{LOG_CUT}')
 SELECT * FROM old
 UNION ALL
 SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.fileName = n.fileName)""",
@@ -340,6 +341,8 @@ WHERE e.file_name NOT IN (
     "quality_report": f"""WITH {_TRIPS}, {_SILVER}
 SELECT 'trip_id_not_null' AS rule,
        CAST(count(*) FILTER (WHERE trip_id IS NULL) AS BIGINT) AS violations FROM silver
+UNION ALL SELECT 'key_columns_present', CAST(count(*) FILTER (WHERE pickup_datetime IS NULL
+       AND dropoff_datetime IS NULL AND total_amount IS NULL) AS BIGINT) FROM silver
 UNION ALL SELECT 'total_amount_non_negative',
        CAST(count(*) FILTER (WHERE total_amount < 0) AS BIGINT) FROM silver
 UNION ALL SELECT 'dropoff_not_before_pickup',

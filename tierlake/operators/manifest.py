@@ -49,7 +49,7 @@ def present_from_listing(listing: DataFrame) -> DataFrame:
 
 def missing_files(expected: DataFrame, present: DataFrame) -> DataFrame:
     """Expected files with no present file of the same name."""
-    return expected.join(present.select("file_name"), "file_name", "left_anti")
+    return expected.join(present.select("file_name").distinct(), "file_name", "left_anti")
 
 
 def download_plan(expected: DataFrame, present: DataFrame, log: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def insert_if_absent(log: DataFrame, new_rows: DataFrame) -> DataFrame:
 
     A row with a NULL file name never matches, so it is always inserted.
     """
-    known = log.select("fileName").where(F.col("fileName").isNotNull())
+    known = log.select("fileName").where(F.col("fileName").isNotNull()).distinct()
     return new_rows.select(*OPLOG_SCHEMA.fieldNames()).join(known, "fileName", "left_anti")
 
 

@@ -45,10 +45,20 @@ class OperationsLog:
                           change_id or f"record-{uuid.uuid4().hex[:8]}")
         self.table.expire(self.keep_versions)
 
+    def append(self, entries: DataFrame | list[tuple], change_id: str | None = None) -> None:
+        """Append attempts, also of files that are logged already: a later ``done``
+        clears a failure."""
+        if not isinstance(entries, DataFrame):
+            entries = self.spark.createDataFrame(entries, OPLOG_SCHEMA)
+        log = self.read()
+        self.table.commit(log.unionByName(entries.select(*log.columns)),
+                          change_id or f"append-{uuid.uuid4().hex[:8]}")
+        self.table.expire(self.keep_versions)
+
     def log_status(self, file_name: str, url: str, status: str, at: dt.datetime,
                    error: str = "") -> None:
         """One attempt, as the downloader logs it."""
-        self.record([(file_name, url, status, at, error)])
+        self.append([(file_name, url, status, at, error)])
 
     def deduplicate(self, change_id: str | None = None) -> None:
         """Keep only each file's latest entry (ties kept)."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierlake.operators.conform import conform
+from tierlake.sources.listing import list_files
 from tierlake.schemas import RAW_TRIP_SCHEMA, UNSTABLE_COLUMN
 
 
@@ -54,6 +55,8 @@ def read_trip_files(spark: SparkSession, paths: list[str] | str,
     """
     if isinstance(paths, str):
         paths = [paths]
+    # A folder's files may differ in their columns, so each file counts for itself.
+    paths = sorted(r.path for r in list_files(spark, paths, pattern="*").select("path").collect())
     target = schema
     if lineage_col:
         target = StructType(schema.fields + [StructField(lineage_col, StringType())])

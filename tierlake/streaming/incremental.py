@@ -5,7 +5,8 @@ only ``path`` (no file bytes are read). Its checkpoint records which files have
 been processed, so each run picks up only new files. Every micro-batch reads
 its files with the drift-tolerant scan and runs the three layer merges.
 
-Replays are safe: the batch id is derived from the micro-batch id, and every
+Replays are safe: the batch id is derived from the batch's file paths (epoch
+numbers start again with a new checkpoint, paths do not), and every
 layer table skips a batch it has already committed (a replay after a failure
 in silver re-stages bronze's rows but does not merge them again). The clock
 should be a function of the batch id, not of wall time, for a replay to
@@ -15,6 +16,7 @@ reproduce the same audit columns.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
@@ -39,23 +41,29 @@ def new_files_stream(spark: SparkSession, landing_root: str, pattern: str = "*.p
     return reader.load(landing_root).select("path")
 
 
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
+
+
 def start_incremental(lake: Lakehouse, landing_root: str, *,
                       clock: Callable[[str], dt.datetime | str],
                       checkpoint: str | None = None, batch_prefix: str = "stream",
                       max_files_per_trigger: int | None = 64,
                       available_now: bool = True) -> StreamingQuery:
     """Start the incremental pipeline; with ``available_now`` it processes every
-    new file and stops. ``clock(batch_id)`` gives the audit timestamp."""
+    new file and stops. ``clock`` gives the audit timestamp of a micro-batch from
+    ``<batch_prefix>-<epoch>``."""
     spark = lake.spark
-    checkpoint = checkpoint or shared_dir(spark, "tierlake", "streams", "incremental")
+    checkpoint = checkpoint or shared_dir(
+        spark, "tierlake", "streams", _digest(lake.root.rstrip("/"), landing_root.rstrip("/")))
 
     def run(files, epoch_id: int) -> None:
         # One row per new file, at most max_files_per_trigger of them.
         paths = sorted(r.path for r in files.collect())
         if not paths:
             return
-        batch_id = f"{batch_prefix}-{epoch_id}"
-        lake.run_batch(read_trip_files(spark, paths), batch_id, clock(batch_id))
+        batch_id = f"{batch_prefix}-{_digest(*paths)}"
+        lake.run_batch(read_trip_files(spark, paths), batch_id, clock(f"{batch_prefix}-{epoch_id}"))
 
     writer = (new_files_stream(spark, landing_root,
                                max_files_per_trigger=max_files_per_trigger)

@@ -86,10 +86,7 @@ def main() -> None:
 
     out = ["# Physical plans", "",
            f"Generated by `tools/show_plans.py` on `{sf}` (local[8], AQE on; the tree is the",
-           "initial plan, AQE may still switch a sort-merge join to broadcast at run time).",
-           "The test tables are single-row-group files; the `RoundRobinPartitioning` exchange",
-           "right above their scans spreads them over the cores",
-           "(`sources/fixtures.with_min_parallelism`) and is absent for multi-split inputs.", ""]
+           "initial plan, AQE may still switch a sort-merge join to broadcast at run time).", ""]
     for title, lines in sections:
         out += [f"## {title}", "", "```", *lines, "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
