@@ -28,21 +28,20 @@ def test_two_available_now_runs_equal_one_batch(spark, workdir):
 
     trips.where("payment_type <= 3").coalesce(1).write.parquet(f"{landing}/2024-01")
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert lake.bronze.has_batch("stream-0") and not lake.bronze.has_batch("stream-1")
     first = lake.bronze.read().count()
     assert first == trips.where("payment_type <= 3").count()
 
     trips.where("payment_type > 3").coalesce(1).write.parquet(f"{landing}/2024-02")
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert lake.bronze.has_batch("stream-1")
     bronze = lake.bronze.read()
     # The second run saw only the new file: its batch id is on exactly those rows.
     by_batch = {r.batch_id: r["count"] for r in bronze.groupBy("batch_id").count().collect()}
-    assert by_batch == {"stream-0": first, "stream-1": trips.count() - first}
+    assert sorted(by_batch.values()) == sorted([first, trips.count() - first])
+    assert all(lake.bronze.has_batch(b) for b in by_batch)
 
     # A third run with no new file commits nothing.
     start_incremental(lake, landing, clock=clock, checkpoint=ckpt).awaitTermination(300)
-    assert not lake.bronze.has_batch("stream-2")
+    assert lake.bronze.read().select("batch_id").distinct().count() == 2
     assert lake.bronze.read().count() == trips.count()
 
     one = Lakehouse(spark, f"{workdir}/one")
@@ -60,5 +59,5 @@ def test_one_run_splits_new_files_into_micro_batches(spark, workdir):
     lake = Lakehouse(spark, f"{workdir}/lake")
     start_incremental(lake, landing, clock=clock, checkpoint=f"{workdir}/ckpt",
                       max_files_per_trigger=1).awaitTermination(300)
-    assert all(lake.bronze.has_batch(f"stream-{i}") for i in range(3))
+    assert lake.bronze.read().select("batch_id").distinct().count() == 3
     assert lake.silver.read().count() == trips.where("payment_type <= 3").count()
