@@ -22,7 +22,7 @@ from tierlake.llm.text import slices, words_of
 #: Bound of the labelled sample that the model is fitted on (rows), and of its features.
 FIT_ROWS, FEATURES = 20_000, 2_000
 #: Labelled documents that must hold a word for it to be a feature.
-LEAST_DOCS = 4
+LEAST_DOCS = 2
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
