@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tierlake.llm import minhash, mixing, pii, quality, quotes, rptree, tiling, toxicity, url_filter, wavelet
 from tierlake.llm.common import table
-from tierlake.llm.graph import components
+from tierlake.llm.graph import components, contract
 from tierlake.llm.queries import QUERIES, tokenizer_path
 from tierlake.llm.text import shingle_sets, words_of
 
@@ -44,6 +44,20 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_contracted_edges_keep_the_components():
+    draw = np.random.default_rng(5)
+    for n, m in ((1, 0), (40, 25), (500, 520), (300, 299)):
+        a, b = draw.integers(0, n, (2, m)) * 7 - 900
+        if (n, m) == (300, 299):  # one long chain
+            a, b = np.arange(1, 300), np.arange(299)
+        least = {x: x for x in [*a, *b]}
+        for _ in range(n):
+            for x, y in zip(a, b, strict=True):
+                least[x] = least[y] = min(least[x], least[y])
+        node, root = contract(a, b)
+        assert dict(zip(node, root, strict=True)) == {x: y for x, y in least.items() if x != y}
+
+
 def test_words_and_shingles():
     texts = ["Ab  c\tD\n", "", None, "é É x", "one"]
     _, _, _, hashes, first = words_of(pa.array(texts))
