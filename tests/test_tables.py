@@ -48,6 +48,14 @@ def test_versioned_table_commits_and_skips_replays(spark, workdir):
     assert len(t.expire(keep=1)) == 2
 
 
+def test_batches_with_alike_ids_are_kept_apart(spark, workdir):
+    table = VersionedTable(spark, f"{workdir}/tbl", GOLD_SCHEMA)
+    for n, batch in enumerate(["a/b", "a_b", "a b", "a_2f_b", "..", "a:b"]):
+        merged = table.merge(gold_rows(spark, [(f"t{n}", 2024, 1, n + 1, 1.0)], batch, T1), ["id"], batch)
+        assert merged is not None and table.has_batch(batch)
+        assert table.read().count() == n + 1
+
+
 def gold_rows(spark, data, batch, ts):
     return spark.createDataFrame([(i, y, m, d, r, batch, ts, ts) for i, y, m, d, r in data],
                                  GOLD_SCHEMA)
