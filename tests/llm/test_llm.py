@@ -434,6 +434,15 @@ def test_base_spans_equal_the_plain_forms(spark):
         assert set(line.split(",")) <= set(r["spans"].split(","))
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1 0.0.0.0 000.1.2.3 192.168.0.256", "127.0.0.1:80 1.2.3.0 00.00.00.00 0256.0.0.1 0.0.0.0255", "0" * 4000 + ".0.0." + "0" * 4000, "0" * 4000 + ".0.0." + "0" * 4000 + "256"]
+    rows = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_ip"] for r in rows} == {0: 3, 1: 4, 2: 1, 3: 0}
+    for r in rows:
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in brute_spans(texts[r["doc_id"]]))
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
+
+
 def test_context_finds_unseen_identifiers(spark):
     rows = [(k, f"please call me at +1 (514) 555-{1000 + k} for more, version {k}.0 is out") for k in range(20)]
     rows += [(100, "please call me at 555-0199 for more"), (101, "please meet me near 555-0198 for less"), (102, "call me at 555-0199 now"), (102, "call me at 555-0199 now")]

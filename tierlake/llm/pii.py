@@ -32,7 +32,7 @@ FORMS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _IP = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 CANDIDATE = r"(?<![^\s])[^\s0-9@]*+[0-9@][^\s]*+"
 #: Punctuation that is no part of a candidate at its ends.
