@@ -387,6 +387,22 @@ def test_quotes_are_linked_and_removed(spark):
     assert quotes.link_quotes(frame.limit(0)).count() == 0
 
 
+def test_quotes_of_parts_and_of_any_conversation(spark):
+    original = "The first line tells of sorting. It goes\non in the second line.\nA third line ends it."
+    rows = [(5, 0, "u", original), (5, 1, "u", "> It goes on in\n> the second line.\nre-wrapped"), (5, 2, "u", "> It goes on in the\ncut inside a sentence"),
+            (7, 0, "u", "> The first line tells of sorting. It goes\n> on in the second line.\nlater id"), (2, 0, "u", "> It goes on in the second\n> line. A third line ends it.\nearlier id"),
+            (8, 0, "u", "> A third line ends it.\n> and more\none line of two"), (8, 1, "u", "A third line ends it.")]
+    # Two messages that quote each other, and one that answers the second.
+    rows += [(20, 0, "u", "> the second of the circle\nthe first of the circle"), (21, 0, "u", "> the first of the circle\nthe second of the circle"), (19, 0, "u", "> the second of the circle\ntail")]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    got = {(r["conv_id"], r["turn"]): (r["n_linked"], r["reply_conv"], r["reply_turn"], r["thread_conv"], r["depth"]) for r in out}
+    assert got[5, 1] == got[7, 0] == got[2, 0] == got[8, 0] == (1, 5, 0, 5, 1)
+    assert got[5, 2][0] == 0
+    assert got[20, 0] == (1, None, None, 20, 0) and got[21, 0] == (1, 20, 0, 20, 1) and got[19, 0] == (1, 21, 0, 20, 2)
+    place = {(r["conv_id"], r["turn"]): k for k, r in enumerate(out)}
+    assert all(place[r["reply_conv"], r["reply_turn"]] < place[r["conv_id"], r["turn"]] for r in out if r["reply_conv"] is not None)
+
+
 def test_long_chains_of_answers(spark):
     rows = [(1, k, "u", f"> message number {k - 1}\nmessage number {k}" if k else "message number 0") for k in range(40)]
     out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
