@@ -75,3 +75,23 @@ def test_streams_of_two_lakes_and_a_fresh_checkpoint_lose_no_file(spark, workdir
 def test_table_reads_add_no_exchange(spark):
     plan = as_trips(read_table(spark, SF_SMALL, "lineitem"))._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobin" not in plan
+
+
+def test_other_rows_under_a_known_id_are_refused(spark, workdir):
+    from tierlake.sinks.tables import BatchConflictError
+    lake = Lakehouse(spark, f"{workdir}/lake")
+    first = trip(spark)
+    lake.run_batch(first, "b1", NOW)
+    assert lake.row_counts["b1", "bronze"] == 1
+    lake.run_batch(first, "b1", dt.datetime(2025, 1, 1))  # a replay, whatever the clock
+    more = first.union(first.withColumn("total_amount", F.col("total_amount") + 1))
+    null = first.withColumn("trip_distance", F.lit(None).cast("double"))
+    for other in (more, null, first.limit(0)):
+        with pytest.raises(BatchConflictError):
+            lake.run_batch(other, "b1", NOW)
+    assert lake.bronze.read().count() == 1 and lake.row_counts["b1", "bronze"] == 1
+    again = Lakehouse(spark, f"{workdir}/lake")
+    again.run_batch(first, "b1", NOW)
+    assert again.row_counts["b1", "bronze"] == again.row_counts["b1", "gold"] == 0
+    lake.run_batch(more, "b2", NOW)
+    assert lake.bronze.read().count() == 2

@@ -8,7 +8,9 @@ its files with the drift-tolerant scan and runs the three layer merges.
 Replays are safe: the batch id is derived from the batch's file paths (epoch
 numbers start again with a new checkpoint, paths do not), and every
 layer table skips a batch it has already committed (a replay after a failure
-in silver re-stages bronze's rows but does not merge them again). The clock
+in silver re-stages bronze's rows but does not merge them again). A file that
+was replaced under its old name gives the old id with other rows: the tables compare
+the rows' digest and the run fails with ``BatchConflictError``. The clock
 should be a function of the batch id, not of wall time, for a replay to
 reproduce the same audit columns.
 """
