@@ -195,6 +195,13 @@ def test_decontamination_finds_every_verbatim_item(spark):
     assert want <= got and len(got) <= len(want) + 2
 
 
+def test_short_items_match_whole_lines_and_documents_only(spark):
+    docs = docs_of(spark, [(1, "yes it is so"), (2, "question\n Yes! \nend"), (3, "yes"), (4, "they say new york is large, yes"), (5, "new\nyork"), (6, "in new york\nyes or no"), (7, "New York\nrest")])
+    bench = spark.createDataFrame([(1, "yes"), (2, "New York")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in tiling.contaminated(docs, bench).collect()) == [(2, 1), (3, 1), (5, 2), (7, 2)]
+    assert sorted(r["doc_id"] for r in tiling.drop_contaminated(docs, bench).collect()) == [1, 4, 6]
+
+
 # -- 6 wavelet shards ------------------------------------------------------------
 
 

@@ -85,13 +85,14 @@ def _item_seeds(min_match: int):
     return run
 
 
-def _doc_seeds(keys: KeyFilter, widths: list[int]):
+def _doc_seeds(keys: KeyFilter, widths: list[int], min_match: int):
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("seed", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                _, _, _, hashes, first = words_of(part.column("text"), plain=True)
+                raw, starts, _, hashes, first = words_of(part.column("text"), plain=True)
+                line = np.searchsorted(np.flatnonzero(raw == ord("\n")), starts)
                 key = part.column("key").to_numpy()
                 for width in widths:
                     windows = rolling(hashes, width)
@@ -99,6 +100,14 @@ def _doc_seeds(keys: KeyFilter, widths: list[int]):
                     doc = np.searchsorted(first, at, side="right") - 1
                     inside = at + width <= first[doc + 1]
                     at, doc = at[inside], doc[inside]
+                    if width < min_match:
+                        # Short items: the whole document or whole lines only.
+                        begins, ends = at == first[doc], at + width == first[doc + 1]
+                        one_line = line[at] == line[at + width - 1]
+                        begins_line = begins | (line[at] != line[np.maximum(at - 1, 0)])
+                        ends_line = ends | (line[at + width - 1] != line[np.minimum(at + width, len(line) - 1)])
+                        alone = (begins & ends) | (one_line & begins_line & ends_line)
+                        at, doc = at[alone], doc[alone]
                     yield pa.record_batch([pa.array(key[doc]), part.column("doc_id").take(pa.array(doc)),
                                            pa.array((at - first[doc]).astype(np.int32)), pa.array(signed(windows[at]))], schema=schema)
 
@@ -140,7 +149,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     runs of letters, digits and non-ASCII characters with A-Z folded. Returns
     ``key, doc_id, item_id, coverage, tiles`` for coverage >= ``coverage``.
 
-    - Items of fewer tokens than ``min_match`` must match whole; items without
+    - Items of fewer tokens than ``min_match`` must be the whole document or a whole
+      line of it, as such words stand in clean texts too; items without
       tokens (NULL, empty, symbols) match nothing.
     - Items with equal tokens are one item, the one with the least id.
     - NULL or empty documents match nothing; a NULL doc_id is judged and stays NULL.
@@ -158,7 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most min_match values
     seeds = KeyFilter.build(items.select("seed"))
     rows = docs.select(_key(docs).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = rows.mapInArrow(_doc_seeds(seeds, widths), "key long, doc_id long, place int, seed long")
+    hits = rows.mapInArrow(_doc_seeds(seeds, widths, min_match), "key long, doc_id long, place int, seed long")
     matches = hits.join(small_side(items, 200_000), "seed") \
         .groupBy("key", "item_id").agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.first("width").alias("width"),
                                        F.collect_set(F.struct("place", "places")).alias("matches"))
