@@ -202,6 +202,15 @@ def test_short_items_match_whole_lines_and_documents_only(spark):
     assert sorted(r["doc_id"] for r in tiling.drop_contaminated(docs, bench).collect()) == [1, 4, 6]
 
 
+def test_pairs_name_every_equal_item(spark, workdir):
+    item = "one two three four five six seven"
+    docs_of(spark, [(1, item + " and more"), (2, "none of it")]).write.parquet(f"{workdir}/documents.parquet")
+    bench = spark.createDataFrame([(10, item), (11, item.upper() + "!"), (11, item), (12, "eight nine ten eleven twelve"), (None, item)], "item_id long, text string")
+    bench.write.parquet(f"{workdir}/benchmark.parquet")
+    out = QUERIES["op3_decontamination"](spark, workdir)
+    assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in out.collect()) == [(1, 10, 1.0), (1, 11, 1.0)]
+
+
 # -- 6 wavelet shards ------------------------------------------------------------
 
 

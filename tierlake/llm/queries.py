@@ -24,7 +24,8 @@ def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+    benchmark = table(spark, sf_dir, "benchmark")
+    return tiling.for_all_items(tiling.contaminated(table(spark, sf_dir, "documents"), benchmark), benchmark) \
         .selectExpr("doc_id", "item_id", "coverage", "tiles")
 
 

@@ -152,7 +152,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     - Items of fewer tokens than ``min_match`` must be the whole document or a whole
       line of it, as such words stand in clean texts too; items without
       tokens (NULL, empty, symbols) match nothing.
-    - Items with equal tokens are one item, the one with the least id.
+    - Items with equal tokens are one item, the one with the least id
+      (:func:`for_all_items` adds the others).
     - NULL or empty documents match nothing; a NULL doc_id is judged and stays NULL.
     - Rows equal in id and text give one result; empty tables give none.
     - Extra columns are ignored.
@@ -178,6 +179,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
                               "tiles array<struct<item_start:int,doc_start:int,length:int>>")
 
 
+def for_all_items(pairs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The pairs of :func:`contaminated`, also for the items with the same tokens as the one of least id."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
+    items = materialise(items.mapInArrow(_item_seeds(MIN_MATCH), "item_id long, n_tokens int, width int, seed long, places array<int>, digest long")
+                        .select("item_id", "n_tokens", "digest").distinct(), "equal_items")
+    least = items.groupBy("digest", "n_tokens").agg(F.min("item_id").alias("least"))
+    equal = materialise(items.join(least, ["digest", "n_tokens"]).select(F.col("least").alias("item_id"), F.col("item_id").alias("equal")).distinct(), "equal_items")
+    return pairs.join(small_side(equal, 200_000), "item_id").withColumn("item_id", F.col("equal")).select(*pairs.columns)
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay."""
     found = materialise(contaminated(docs, benchmark, **how).select("key").distinct(), "contaminated")
