@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import minhash, mixing, pii, quality, quotes, rptree, tiling, toxicity, url_filter, wavelet
+from tierlake.llm import (
+    collocations,
+    lexical,
+    minhash,
+    mixing,
+    pii,
+    quality,
+    quotes,
+    rptree,
+    tiling,
+    token_counts,
+    toxicity,
+    url_filter,
+    wavelet,
+)
 from tierlake.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +73,60 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("doc_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_rp_forest, op3_decontamination, op4_url_filter, op5_quote_linking,
-                                   op6_wavelet_shards, op7_mixing, op8_quality, op9_minhash, op10_pii)}
-ORACLE_SQL: dict[str, str] = {}
+                                   op6_wavelet_shards, op7_mixing, op8_quality, op9_minhash, op10_pii,
+                                   op11_lexical_search, op12_token_counts, op13_collocations)}
+
+# Only A-Z are lower-cased, as the operators do.
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS_SQL = rf"unnest(regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": f"""
+        WITH words AS (SELECT doc_id, {_TERMS_SQL} AS term FROM documents),
+        tfs AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
+        lens AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY ALL),
+        size AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lens),
+        asked AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, {_TERMS_SQL} AS term FROM benchmark) GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                    FROM tfs, size WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+        scores AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+                   FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN lens USING (doc_id), size GROUP BY ALL)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+        WHERE rank <= 20""",
+    "op13_collocations": rf"""
+        WITH pieces AS (SELECT lang, row_number() OVER () AS piece, piece_text FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER_SQL}, '[.,;:!?
+-]')) AS piece_text FROM documents)),
+        lists AS (SELECT lang, regexp_extract_all(piece_text, '[^ 	]+') AS w FROM pieces),
+        runs AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+                 FROM lists, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+        f AS (SELECT lang, k, phrase, count(*)::BIGINT AS a FROM runs GROUP BY ALL),
+        totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+        cuts AS (SELECT c.lang, c.phrase, c.a, cut, f1.a AS l, f2.a AS r,
+                        ((1000000::HUGEINT * c.a * c.a) // (f1.a::HUGEINT * f2.a))::BIGINT AS score
+                 FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM cand) c
+                 JOIN f f1 ON f1.lang = c.lang AND f1.phrase = array_to_string(c.w[1:cut], ' ')
+                 JOIN f f2 ON f2.lang = c.lang AND f2.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM cand WHERE k = 3),
+        kept AS (SELECT * FROM lowest WHERE NOT EXISTS (SELECT 1 FROM longer WHERE longer.lang = lowest.lang AND longer.phrase = lowest.phrase
+                                                        AND 100 * longer.a >= 50 * lowest.a))
+        SELECT kept.lang, rank, phrase, a, l, r, n, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) kept
+        JOIN totals USING (lang) WHERE rank <= 2000""",
+}
