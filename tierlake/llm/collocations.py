@@ -41,7 +41,9 @@ _ENDS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 _BETWEEN = _ENDS.copy()
 _BETWEEN[list(b"\x20\x09")] = True
 #: Text of one numpy pass; a task's counts are held for so many fingerprints.
-PART_BYTES, HELD = 4 << 20, 2_000_000
+PART_BYTES, HELD = 1 << 20, 1_000_000
+#: Rows that go to Spark at once.
+SENT = 100_000
 NO_LANG = "und"
 
 
@@ -132,8 +134,10 @@ class _Tally:
             if len(self.held) > 1:
                 self._put(*self._merged())
             keys, counts, docs = self._merged()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), width, np.int32)), pa.array(keys.view(np.int64)),
-                                              pa.array(counts), pa.array(docs)], names=["width", "print", "n", "doc_id"])
+            for at in range(0, len(keys), SENT):
+                k, c, d = (x[at:at + SENT] for x in (keys, counts, docs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), width, np.int32)), pa.array(k.view(np.int64)),
+                                                  pa.array(c), pa.array(d)], names=["width", "print", "n", "doc_id"])
 
 
 _NO_ID = np.iinfo(np.int64).max
