@@ -159,6 +159,7 @@ def test_counts_equal_the_tokenizer(spark, name):
 def test_counts_over_many_small_blocks_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "BLOCK_BYTES", 64)
     monkeypatch.setattr(token_counts, "PART", 100)
+    monkeypatch.setattr(token_counts, "FREQUENT", 3)
     rows = odd_texts(80, 9) + [(900, "some plain words, and 12 more. " * 300, "en"), (901, "é漢 words and words " * 300, "en")]
     got = token_counts.count_tokens(rows_of(spark, rows), tokenizer_path("byte_bpe_50k.json"), limit=20)
     want = [(i, b, n, n > 20) for i, b, n, _ in brute_counts("byte_bpe_50k.json", rows)]
@@ -238,3 +239,13 @@ def test_pointers_are_the_least_documents_and_scores_pass_64_bits(spark):
 def test_collocations_on_empty_tables(spark):
     assert collocations.collocations(rows_of(spark, HARD).limit(0)).count() == 0
     assert collocations.collocations(rows_of(spark, [(1, None, None), (2, " ., ", "en")])).count() == 0
+
+
+def test_packed_lists_come_back():
+    draw = np.random.default_rng(2)
+    kinds = draw.choice([0, 0, 1, 40], 61)
+    token = np.concatenate([np.sort(draw.choice(5000, k, replace=False)) for k in kinds])
+    freq = draw.integers(1, 10**12, len(token))
+    for got, want in zip(token_counts.unpack(token_counts.pack(kinds, token, freq)), (kinds, token, freq), strict=True):
+        assert (got == want).all()
+    assert [len(x) for x in token_counts.unpack(token_counts.pack(kinds[:1] * 0, token[:0], freq[:0]))] == [1, 0, 0]

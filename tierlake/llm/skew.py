@@ -22,7 +22,10 @@ def join_spread(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).dropna(subset=keys)
     total = left.count()
     hot = counts.where(F.col("_n") * PIECES > total)
-    hot = spark.createDataFrame(hot.collect(), hot.schema).select(
+    found = hot.collect()
+    if not found:
+        return left.join(right, keys)
+    hot = spark.createDataFrame(found, hot.schema).select(
         *keys, F.ceil(F.col("_n") * PIECES / F.lit(max(1, total))).cast("int").alias("_pieces"))
     dealt = (left.join(F.broadcast(hot), keys, "left")
              .withColumn("_piece", F.coalesce(F.pmod(F.xxhash64(*spread), "_pieces"), F.lit(0)).cast("int")).drop("_pieces"))

@@ -5,8 +5,9 @@ text's number of tokens is the sum over its pre-tokens. Executors cut the texts
 each document's pre-tokens, a block of documents at a time (about ``BLOCK_BYTES`` of text,
 or one longer document); a block keeps its distinct pre-tokens once. Spark then takes
 the distinct pre-tokens of all blocks, the tokenizer's model counts the pieces of
-each exactly once, the counts are joined back to the blocks (frequent pre-tokens dealt
-over many tasks) and each block adds up frequency times pieces. No ids are built.
+each exactly once, and the counts come back to the blocks: those of the most frequent pre-tokens
+(at most ``FREQUENT``) in a broadcast table, all others through a join. Each block adds up frequency
+times pieces per document. No ids are built.
 
 Cutting: texts of a byte-level tokenizer are cut by its pattern in Python where all of their
 characters lie in ``SAME_CLASSES``; other texts, and other kinds of tokenizer, are cut by the
@@ -38,6 +39,10 @@ from tierlake.llm.skew import join_spread
 BLOCK_BYTES = 4 << 20
 #: Characters of one part of a long text.
 PART = 1 << 20
+#: Pre-tokens in the broadcast table, and their greatest length: 19 MB at most.
+FREQUENT, FREQUENT_BYTES = 262_144, 64
+#: A pre-token's place is one long: 20 bits of partition, 12 of block, 31 of its place in the block.
+BLOCKS = 1 << 12
 # Fixed value: the published pattern of byte-level tokenizers.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Latin, Greek, Cyrillic and general punctuation: letters, digits and spaces
@@ -119,15 +124,35 @@ class PreTokens:
 
 #: Stands before an added token's string; no pre-token mixes a letter with NUL.
 ADDED = "\x00a\x00"
-_BLOCKS = ("block long, tokens array<string>, doc_id array<long>, n_bytes array<long>, "
-           "kinds array<int>, token array<int>, freq array<long>")
+_BLOCKS = "block long, tokens array<string>, doc_id array<long>, n_bytes array<long>, body binary"
+
+
+def pack(kinds: np.ndarray, token: np.ndarray, freq: np.ndarray) -> bytes:
+    """The documents' (token, frequency) lists in few bytes: the places of tokens, ascending within
+    a document, as steps from one to the next, then compressed."""
+    step = np.diff(token, prepend=0)
+    first = np.concatenate([[0], np.cumsum(kinds)[:-1]])[kinds > 0]
+    step[first] = token[first]
+    raw = np.concatenate([[len(kinds)], kinds, step, freq]).astype("<i8")
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw.tobytes(), asbytes=True)
+
+
+def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of entries per document, places of tokens, frequencies) of :func:`pack`."""
+    n = int.from_bytes(body[:8], "little")
+    raw = np.frombuffer(pa.Codec("zstd").decompress(body[8:], decompressed_size=8 * n, asbytes=True), "<i8")
+    kinds, rest = raw[1:raw[0] + 1], raw[raw[0] + 1:]
+    step, freq = rest[:len(rest) // 2], rest[len(rest) // 2:]
+    total = np.concatenate([[0], np.cumsum(step)])
+    first = np.concatenate([[0], np.cumsum(kinds)[:-1]])
+    return kinds, total[1:] - np.repeat(total[first], kinds), freq
 
 
 def _blocks(path: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = PreTokens(path)
         task = TaskContext.get()
-        block = (task.partitionId() if task else 0) << 32
+        block = first = (task.partitionId() if task else 0) * BLOCKS
         held: list[tuple] = []
         place: dict[str, int] = {}
         size = 0
@@ -135,15 +160,17 @@ def _blocks(path: str):
         def flush() -> pa.RecordBatch:
             nonlocal block, size
             ids, sizes, kinds, tokens, freqs = zip(*held, strict=True)
-            flat = [np.array(list(itertools.chain.from_iterable(x)), t) for x, t in ((tokens, np.int32), (freqs, np.int64))]
             row = [pa.array([block])] + [
                 pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
-                    pa.array(list(place), pa.string()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(kinds, pa.int32()), pa.array(flat[0]), pa.array(flat[1]))]
+                    pa.array(list(place), pa.string()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()))]
+            kinds = np.array(kinds, np.int64)
+            token, freq = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (tokens, freqs))
+            order = np.lexsort((token, np.repeat(np.arange(len(kinds)), kinds)))
+            row.append(pa.array([pack(kinds, token[order], freq[order])], pa.binary()))
             held.clear()
             place.clear()
             block, size = block + 1, 0
-            return pa.RecordBatch.from_arrays(row, names=["block", "tokens", "doc_id", "n_bytes", "kinds", "token", "freq"])
+            return pa.RecordBatch.from_arrays(row, names=["block", "tokens", "doc_id", "n_bytes", "body"])
 
         for batch in batches:
             lengths = pc.binary_length(batch.column("text").cast(pa.large_string())).fill_null(0).to_pylist()
@@ -152,7 +179,8 @@ def _blocks(path: str):
                 counts = cutter.count(batch.column("text")[i].as_py() or "")
                 held.append((ids[i], n_bytes, len(counts), [place.setdefault(t, len(place)) for t in counts], list(counts.values())))
                 size += n_bytes
-                if size >= BLOCK_BYTES:
+                # Blocks grow in a partition of many GB, so that their numbers last.
+                if size >= BLOCK_BYTES << (block - first) // (BLOCKS // 4):
                     yield flush()
         if held:
             yield flush()
@@ -165,21 +193,48 @@ def _pieces(path: str):
         cutter = PreTokens(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("token"), pa.array([cutter.pieces(t) for t in batch.column("token").to_pylist()], pa.int64())],
-                names=["token", "pieces"])
+                [batch.column("token"), batch.column("n"), pa.array([cutter.pieces(t) for t in batch.column("token").to_pylist()], pa.int64())],
+                names=["token", "n", "pieces"])
 
     return count
 
 
+def _sums(kinds: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Sum of each document's entries."""
+    ends = np.cumsum(kinds)
+    total = np.concatenate([[0], np.cumsum(value)])
+    return (total[ends] - total[ends - kinds]).astype(np.int64)
+
+
+def _known(shared):
+    """Adds up what the shared table of frequent pre-tokens knows; the rest stays in the block."""
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, counts = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens = batch.column("tokens")[i].values
+                place = pc.index_in(tokens, value_set=frequent).fill_null(-1).to_numpy(zero_copy_only=False)
+                kinds, token, freq = unpack(batch.column("body")[i].as_py())
+                rest = place[token] < 0
+                known = _sums(kinds, np.where(rest, 0, counts[place[token]] * freq))
+                left = place < 0
+                body = pack(_sums(kinds, rest), (np.cumsum(left) - 1)[token[rest]], freq[rest])
+                row = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
+                    tokens.filter(pa.array(left)), batch.column("doc_id")[i].values, batch.column("n_bytes")[i].values, pa.array(known))]
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), *row, pa.array([body], pa.binary())],
+                                                 names=["block", "tokens", "doc_id", "n_bytes", "known", "body"])
+
+    return resolve
+
+
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, sizes, kinds, token, freq, pieces = (batch.column(c)[i].values for c in ("doc_id", "n_bytes", "kinds", "token", "freq", "pieces"))
-            value = (np.zeros(0, np.int64) if pieces is None else pieces.to_numpy())[token.to_numpy()] * freq.to_numpy()
-            ends = np.cumsum(kinds.to_numpy().astype(np.int64))
-            total = np.concatenate([[0], np.cumsum(value)])
-            n = total[ends] - total[np.concatenate([[0], ends[:-1]])]
-            yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(n.astype(np.int64))], names=["doc_id", "n_bytes", "n_tokens"])
+            ids, sizes, known, pieces = (batch.column(c)[i].values for c in ("doc_id", "n_bytes", "known", "pieces"))
+            kinds, token, freq = unpack(batch.column("body")[i].as_py())
+            value = (np.zeros(0, np.int64) if pieces is None else pieces.to_numpy())[token] * freq
+            yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(known.to_numpy() + _sums(kinds, value))],
+                                             names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -188,11 +243,20 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     ``path`` is a file of the tokenizers library that every executor can open;
     ``over_limit`` says whether a document has more than ``limit`` tokens.
     """
+    spark = docs.sparkSession
     blocks = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks(path), _BLOCKS),
                          "pretokens")
-    tokens = blocks.select("block", F.posexplode("tokens").alias("pos", "token"))
-    pieces = materialise(tokens.select("token").distinct().mapInArrow(_pieces(path), "token string, pieces long"), "pieces")
-    counted = (join_spread(tokens, pieces, ["token"], ["block"]).groupBy("block")
-               .agg(F.expr("transform(array_sort(collect_list(struct(pos, pieces))), x -> x.pieces)").alias("pieces")))
+    seen = blocks.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    pieces = materialise(seen.mapInArrow(_pieces(path), "token string, n long, pieces long"), "pieces")
+    # At most FREQUENT strings of at most FREQUENT_BYTES bytes, however large the corpus.
+    top = pieces.where(F.octet_length("token") <= FREQUENT_BYTES).orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
+    shared = spark.sparkContext.broadcast((top.column("token").combine_chunks(), np.append(top.column("pieces").to_numpy(), 0)))
+    blocks = materialise(blocks.mapInArrow(_known(shared), _BLOCKS.replace("body", "known array<long>, body")), "rare")
+    tokens = blocks.select("block", F.posexplode("tokens").alias("pos", "token")) \
+        .select(F.expr("shiftleft(block, 31) + pos").alias("place"), "token")
+    # (place in the block, pieces) in one long: a pre-token of a text has fewer than 2**32 pieces.
+    counted = (join_spread(tokens, pieces.drop("n"), ["token"], ["place"])
+               .select(F.expr("shiftright(place, 31)").alias("block"), F.expr("shiftleft(place & 2147483647L, 32) + pieces").alias("x"))
+               .groupBy("block").agg(F.expr("transform(array_sort(collect_list(x)), x -> x & 4294967295L)").alias("pieces")))
     out = blocks.drop("tokens").join(counted, "block", "left").mapInArrow(_totals, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
