@@ -27,10 +27,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import KeyFilter, materialise
+from tierlake.llm.common import KeyFilter, materialise, small_side
 from tierlake.llm.segments import segments
 from tierlake.llm.skew import join_spread, top_per_group
 from tierlake.llm.text import _BASE, _BASE_INV, _LOWER, mix, powers, span_hashes
@@ -247,6 +247,17 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> Data
                        .where((F.col("n") >= least) | (F.col("width") == 0)), "phrases")
 
 
+def _reaching(kept: DataFrame, top: int) -> DataFrame:
+    """The rows whose score is high enough to be among the ``top`` of their language.
+
+    Scores lie between 0 and a million, so a language has a thousand ranges of them at most; their
+    sizes tell the range in which the last place falls, and lower ones drop out before any sort."""
+    ranges = kept.groupBy("lang", F.expr("score div 1000").alias("range")).agg(F.count(F.lit(1)).alias("rows"))
+    above = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("range"))) - F.col("rows")
+    least = ranges.withColumn("above", above).where(F.col("above") < top).groupBy("lang").agg(F.min("range").alias("least"))
+    return kept.join(small_side(least, 10_000), "lang").where(F.expr("score div 1000 >= least")).drop("least")
+
+
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside_percent: int = 50, top: int = 2000) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score, doc_id`` of each language's best phrases.
 
@@ -279,8 +290,8 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside_perc
     kept = (candidates.join(covered, ["lang", "phrase"], "left")
             .where(F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a")))
             .join(lowest, ["lang", "phrase"]))
-    best = top_per_group(kept.select("lang", "phrase", "a", "doc_id", "cut.score", "cut.l", "cut.r"), ["lang"],
-                         [F.desc("score"), F.desc("a"), F.asc("phrase")], ["phrase"], top)
+    kept = materialise(kept.select("lang", "phrase", "a", "doc_id", "cut.score", "cut.l", "cut.r"), "kept")
+    best = top_per_group(_reaching(kept, top), ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], ["phrase"], top)
     totals = known.where("width = 0").select("lang", "n")
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score",
