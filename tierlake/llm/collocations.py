@@ -41,7 +41,7 @@ _ENDS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 _BETWEEN = _ENDS.copy()
 _BETWEEN[list(b"\x20\x09")] = True
 #: Text of one numpy pass; a task's counts are held for so many fingerprints.
-PART_BYTES, HELD = 1 << 20, 1_000_000
+PART_BYTES, HELD = 1 << 20, 700_000
 #: Rows that go to Spark at once.
 SENT = 100_000
 NO_LANG = "und"
