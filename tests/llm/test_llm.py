@@ -116,13 +116,44 @@ def test_minhash_links_that_a_star_misses(spark):
 
 
 def test_minhash_edge_cases(spark):
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(edge_cases(spark), width=2).collect())
+    out = minhash.near_duplicates(edge_cases(spark), width=2).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out if r["doc_id"] is not None)
     assert got == [(1, 5, 1), (1, 6, 1), (1, 6, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 5), (6, 4, 6)]
+    assert [tuple(r) for r in out if r["doc_id"] is None] == [(None, 6, None, None)]  # a row without an id links with nothing
     assert minhash.near_duplicates(edge_cases(spark).limit(0)).count() == 0
     kept = minhash.drop_near_duplicates(docs_of(spark, [(7, "a b c d e f"), (3, "a b c d e f"), (9, None)]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
 
 
+def test_minhash_signature_margin_misses_no_similar_pair():
+    # Pairs right at the threshold, of all sizes: none is kept from the exact comparison.
+    draw = np.random.default_rng(17)
+    bins = minhash.BANDS * minhash.ROWS
+    pairs = []
+    for size in (1, 2, 3, 5, 9, 20, 45, 100, 180, 299, 300, 450, 1200, 4000):
+        for _ in range(300):
+            common = -(-80 * size // 100)
+            pool = np.sort(draw.integers(0, 2**64, size, dtype=np.uint64))
+            rest = size - common
+            cut = rest // 2
+            drop = draw.permutation(size)
+            pairs.append((np.delete(pool, drop[:cut]), np.delete(pool, drop[cut:rest])))
+    flat = minhash.signatures([x for p in pairs for x in p], bins) & np.uint64(255)
+    agree = (flat[::2] == flat[1::2]).mean(axis=1)
+    low = np.array([min(len(a), len(b)) for a, b in pairs])
+    slack = agree - (0.8 - minhash.margin(0.8, low, bins))
+    assert (slack >= 0).all()
+
+
+def test_minhash_large_open_bucket_is_dealt_by_blocks(spark, monkeypatch):
+    # Many unlike texts share a bucket; pairs of its blocks go to more tasks than one.
+    monkeypatch.setattr(minhash, "ROWS", 1)
+    head = [f"h{k}" for k in range(60)]
+    docs = docs_of(spark, [(i, " ".join(head + [f"t{i}_{k}" for k in range(60)])) for i in range(120)] + [(500, " ".join(head + [f"t7_{k}" for k in range(58)]))])
+    out = minhash.near_duplicates(docs, width=2, bands=3, rows=1, block=10).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: 7 if i == 500 else i for i in [*range(120), 500]}
+
+
 # -- 2 random-projection forest -----------------------------------------------
 
 
@@ -211,6 +242,63 @@ def test_pairs_name_every_equal_item(spark, workdir):
     assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in out.collect()) == [(1, 10, 1.0), (1, 11, 1.0)]
 
 
+def test_decontamination_keeps_any_column_name(spark):
+    item = "one two three four five six seven"
+    docs = docs_of(spark, [(1, item + " and more"), (2, "none of it")]).select(
+        "*", F.lit(1).alias("key_of_row"), F.lit(2).alias("key_gone"), F.lit(3).alias("_key_of_row"), F.lit(4).alias("a.b"))
+    kept = tiling.drop_contaminated(docs, spark.createDataFrame([(10, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and [tuple(r)[:1] + tuple(r)[5:] for r in kept.collect()] == [(2, 1, 2, 3, 4)]
+
+
+def brute_tiling(item, doc, width):
+    """Greedy string tiling as it is told: the longest free common run, again and again."""
+    out, mi, md = [], [False] * len(item), [False] * len(doc)
+    while True:
+        best = None
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and not mi[i + n] and not md[j + n]:
+                    n += 1
+                if n >= width and (best is None or n > best[2]):
+                    best = (i, j, n)
+        if best is None:
+            return out
+        out.append(best)
+        for k in range(best[2]):
+            mi[best[0] + k] = md[best[1] + k] = True
+
+
+def test_tiling_equals_plain_greedy_tiling(spark, monkeypatch):
+    monkeypatch.setattr(tiling, "MATCHES", 7)  # runs are put together from many pieces
+    draw = np.random.default_rng(3)
+    items = [(k, " ".join(draw.choice(list("abcd"), draw.integers(5, 14)))) for k in range(12)]
+    docs = [(k, " ".join(draw.choice(list("abcd"), draw.integers(0, 40)))) for k in range(40)]
+    got = {(r["doc_id"], r["item_id"]): round(r["coverage"], 9) for r in tiling.contaminated(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string"), min_match=3, coverage=0.5).collect()}
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            found = brute_tiling(item.split(), text.split(), 3)
+            share = sum(n for _, _, n in found) / len(item.split())
+            if share >= 0.5:
+                want[d, i] = round(share, 9)
+    assert got == want and len(want) > 20
+
+
+def test_tiling_of_one_word_again_and_again_is_bounded(spark):
+    import tracemalloc
+
+    docs = docs_of(spark, [(1, "word " * 60_000), (2, "word " * 20)])
+    bench = spark.createDataFrame([(1, "word " * 50), (2, "word " * 30 + "other " * 19)], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in tiling.contaminated(docs, bench).collect()) == [(1, 1), (1, 2)]
+    seeds, places = np.array([5], np.int64), pa.array([list(range(46))], pa.list_(pa.int32()))
+    tracemalloc.start()
+    i, j, n = tiling._runs_of(np.arange(400_000), np.full(400_000, 5), seeds, places)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.sum() == 46 * 400_000 and peak < 250e6
+
+
 # -- 6 wavelet shards ------------------------------------------------------------
 
 
@@ -294,6 +382,20 @@ def test_replication_edge_cases(spark):
     assert small == mixing.replicate(edge_cases(spark)).drop("text").collect()
 
 
+def test_replication_keeps_any_column_name_and_spreads_rows_without_an_id(spark):
+    names = ["_plan", "plan", "_source", "plan_source", "_copies", "copies", "place", "_place", "rate", "a.b", "Replica"]
+    docs = edge_cases(spark).drop("replica").select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    out = mixing.replicate(docs, total=500)
+    assert out.columns == [c for c in docs.columns if c != "Replica"] + ["replica"]
+    assert out.select("`a.b`", "_place", "copies").distinct().collect() == [(9, 7, 5)]
+    # Rows without an id draw for themselves and don't meet in one task.
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("s").alias("source"))
+    got = mixing.replicate(rows)
+    assert got.groupBy("text").count().select("count").distinct().count() > 3
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * sum(sizes) / 8
+
+
 # -- 1 toxicity, 8 quality --------------------------------------------------------
 
 
@@ -395,7 +497,7 @@ def test_quotes_are_linked_and_removed(spark):
     assert got[1, 1] == ("Use orderBy.", 1, 1, 1, 0, 1, 0, 1)
     assert got[1, 2] == ("Thanks", 2, 2, 1, 1, 1, 0, 2)
     assert got[1, 3] == ("what", 1, 0, None, None, 1, 3, 0)
-    assert got[2, 0] == ("x", 1, 0, None, None, 2, 0, 0)  # too short for other conversations
+    assert got[2, 0] == ("x", 1, 1, 1, 1, 1, 0, 2)  # short passages are looked up in other conversations too
     assert got[2, 1] == ("y", 1, 1, 1, 0, 1, 0, 1)
     assert got[3, 0] == (None, 0, 0, None, None, 3, 0, 0) and got[3, 1][0] == ""
     assert got[None, 1][:3] == ("", 1, 0) and got[3, None][:3] == ("c", 1, 0)
@@ -433,6 +535,43 @@ def test_quotes_of_the_given_table(spark):
     assert rows.where("text NOT LIKE '%>%'").select(key).exceptAll(out.select(key)).count() == 0
 
 
+def test_quotes_in_generated_threads_equal_a_plain_linker(spark):
+    draw = np.random.default_rng(8)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows, written, want = [], [], {}
+    for conv in range(60):
+        for turn in range(int(draw.integers(1, 9))):
+            own = [" ".join(draw.choice(vocabulary, draw.integers(3, 9))) for _ in range(int(draw.integers(1, 4)))]
+            lines, asked = [], []
+            for _ in range(int(draw.integers(0, 3))):
+                if not written:
+                    break
+                c, t, text = written[int(draw.integers(0, len(written)))] if draw.random() < 0.3 else written[-1]
+                level = int(draw.integers(1, 3))
+                lines += [">" * level + " " + x.upper() for x in text.split("\n")] + [""]
+                asked.append((level, text))
+            rows.append((conv, turn, "u", "\n".join(lines + own)))
+            want[conv, turn] = ("\n".join(own), asked)
+            written.append((conv, turn, "\n".join(own)))
+    texts = {(c, t): text for c, t, text in written}
+    out = {(r["conv_id"], r["turn"]): r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    linked = 0
+    for (conv, turn), (own, asked) in want.items():
+        r = out[conv, turn]
+        assert r["text"] == own and r["n_quotes"] == len(asked) and r["n_linked"] == len(asked)
+        if asked:
+            # What is answered: of the lowest level, the last message; inside the conversation before elsewhere.
+            level = min(x for x, _ in asked)
+            places = []
+            for x, text in asked:
+                if x == level:
+                    inside = [(c, t) for (c, t), other in texts.items() if other == text and c == conv and t < turn]
+                    places.append(min(inside) if inside else min((c, t) for (c, t), other in texts.items() if other == text and c != conv))
+            assert (r["reply_conv"], r["reply_turn"]) == max(places) or r["reply_conv"] is None
+            linked += r["reply_conv"] is not None
+    assert linked > 100
+
+
 # -- 10 personal data -----------------------------------------------------------------
 
 FORMS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -483,6 +622,28 @@ def test_context_finds_unseen_identifiers(spark):
     assert out[101]["n_added"] == 0 and out[3]["n_added"] == 0 and out[102]["spans"] == "phone:11:19"
 
 
+def test_context_finds_identifiers_of_several_tokens_and_of_chained_contexts(spark):
+    rows = [(k, f"please call me at +1 (514) 555-{1000 + k} or write") for k in range(20)]
+    rows += [(100, "please call me at (514) 555 8389 or write"), (101, "Please call me at (514) 555 8389, thanks.")]
+    # Five numbers stand in the first context and in a second one, and so on: a chain of eight contexts.
+    for step in range(8):
+        before, after = (f"step {'abcdefgh'[n]} says" if n else "please call me at" for n in (step, step + 1) if n < 8) if step < 7 else ("step h says", "final word is")
+        for k in range(6):
+            value = f"({200 + 10 * step + k}) 777 {4000 + k}"
+            rows += [(1000 + 100 * step + k, f"{before} {value} or write"), (5000 + 100 * step + k, f"{after} {value} or write")]
+    rows += [(9000 + k, f"the price was {k}00 500 units in all, version {k}.0.1 is out") for k in range(30)]
+    rows += [(9100, "so token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" it is"), (9101, "a token of thanks: 12"), (9102, "PASSWORD: abcdefghijklmnop1")]
+    out = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100]["spans"] == "phone:18:32" and out[101]["spans"] == "phone:18:32" and out[100]["n_phone"] == 0
+    planted = [d for d in out if 1000 <= d < 9000]
+    caught = sum(out[d]["n_added"] == 1 for d in planted)
+    assert caught == len(planted) == 96  # recall 1.0 along the whole chain
+    clean = [d for d in out if 9000 <= d < 9100]
+    assert all(out[d]["n_added"] == 0 and not out[d]["flagged"] for d in clean)  # precision 1.0
+    assert [out[d]["n_secret"] for d in (9100, 9101, 9102)] == [1, 0, 1]
+    assert [out[d]["flagged"] for d in (9100, 9101, 9102, 100, 3)] == [True, False, True, True, True]
+
+
 def test_personal_data_edge_cases(spark):
     out = pii.personal_data(edge_cases(spark))
     assert out.count() == 9 and out.where("doc_id IS NULL").count() == 1

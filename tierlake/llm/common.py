@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,22 +65,47 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: an expression named inside a lambda is
+    otherwise computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of ``df`` is called like that."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark reads it literally, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 class KeyFilter:
-    """A Bloom filter of 64-bit hashes with a fixed size of ``2**log2_bits`` bits.
+    """A Bloom filter of 64-bit hashes: 16 bits a key, at most ``2**MOST_BITS`` bits (32 MB).
 
-    Spark builds it (one partial OR per 64-bit word of the filter); the driver
-    sees at most ``2**log2_bits / 64`` words whatever the number of keys. It only
-    thins what is shuffled: an exact join follows, so a full filter costs time,
+    Spark counts the keys and builds it (one partial OR per 64-bit word of the filter);
+    the driver sees at most ``2**MOST_BITS / 64`` words whatever the number of keys. It only
+    thins what is shuffled: an exact join or count follows, so a full filter costs time,
     never rows.
     """
 
+    MOST_BITS = 28
+
     def __init__(self, spark: SparkSession, bits: np.ndarray):
         self.shared = spark.sparkContext.broadcast(bits)
 
     @classmethod
-    def build(cls, hashes: DataFrame, log2_bits: int = 23) -> KeyFilter:
-        """From a table whose first column is the hash, a long."""
+    def build(cls, hashes: DataFrame) -> KeyFilter:
+        """From a table, materialised or cheap, whose first column is the hash, a long."""
         h = hashes.columns[0]
+        log2_bits = min(cls.MOST_BITS, max(16, math.ceil(math.log2(16 * max(1, hashes.count())))))
         mask = (1 << log2_bits) - 1
         words = (hashes.select(F.explode(F.expr(f"array({h} & {mask}L, shiftrightunsigned({h}, 32) & {mask}L)")).alias("spot"))
                  .groupBy(F.expr("shiftright(spot, 6)").alias("word"))

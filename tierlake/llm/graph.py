@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import materialise
+from tierlake.llm.skew import join_spread
 
 #: Edges that a task contracts at once.
 CHUNK = 1_000_000
@@ -53,14 +54,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour larger than its node is joined to the node's smallest neighbour."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return join_spread(both.where("b > a"), least, ["a"], ["b"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour and the node itself are joined to the smallest neighbour."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    hung = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    hung = join_spread(down, least, ["a"], ["b"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -68,11 +69,11 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node that has an edge; component = smallest reachable node.
 
     ``edges`` has two long columns; NULL ends and loops are ignored, order and
-    repeats don't matter, an empty table gives an empty result. Each round writes
+    repeats don't matter, an empty table gives an empty result. Each step writes
     its edges under the shared folder. Before the first, each task contracts the
-    edges that it reads, which loses no connection. Minima are combined map-side and the join
-    back has one row per node on its right side, so AQE can split a hub that a
-    large part of the nodes hang on. Rounds go on until nothing changes (their
+    edges that it reads, which loses no connection. Minima are combined map-side, and
+    the edges of a hub that a large part of the nodes hang on are dealt over many tasks
+    for the join back. Rounds go on until nothing changes (their
     number grows with the logarithm of the input).
     """
     a, b = edges.columns[:2]
@@ -86,4 +87,4 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         mark = seen
-        now = materialise(_small_star(_large_star(now)), "edges")
+        now = materialise(_small_star(materialise(_large_star(now), "edges")), "edges")

@@ -141,12 +141,21 @@ def _in_blocks(rows: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
     return cut.select(*rows.columns, *keys)
 
 
+def margin(share: float, shingles: np.ndarray, bins: int) -> np.ndarray:
+    """How far the signatures of two sets may agree below their similarity ``share``.
+
+    Six standard deviations of an agreement over the bins that the smaller set fills by
+    itself (``bins * (1 - exp(-n / bins))`` of them; densified bins say nothing new). The
+    chance agreement of the short hashes only raises it. A test measures the misses."""
+    filled = bins * -np.expm1(-shingles / bins)
+    return 6 * np.sqrt(share * (1 - share) / np.maximum(filled, 1))
+
+
 def _linked(percent: int, exact: bool):
     """One edge per member of a pair of blocks: to the least member that it reaches.
 
     Two members link if they are of different components, their sizes allow the
-    threshold and their short signatures may reach it (they agree by the similarity
-    plus 1/256; the margin is about five standard deviations, more for small sets).
+    threshold and their short signatures may reach it (see :func:`margin`).
     ``exact`` also asks their full sets.
     """
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -172,7 +181,7 @@ def _linked(percent: int, exact: bool):
             if own:
                 fits[:k + 1] = False
             at = np.flatnonzero(fits)
-            at = at[(sig_b[at] == sig_a[k]).mean(axis=1) >= percent / 100 - np.where(low[at] < 300, 0.4, 0.2)]
+            at = at[(sig_b[at] == sig_a[k]).mean(axis=1) >= percent / 100 - margin(percent / 100, low[at], sig_a.shape[1])]
             if exact and len(at):
                 mine = codes[begin[k]:begin[k + 1]]
                 seen[mine] = True
@@ -211,16 +220,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     whole sequence. Documents link when 100 * |A ∩ B| >= percent * |A ∪ B|.
 
     - NULL or empty text, or no words: n_shingles 0, linked with nothing.
-    - NULL doc_id: dropped (it names no document). Repeated doc_id: each row is
-      returned with the least component of the id's rows.
+    - NULL doc_id: the row is returned with its n_shingles, but is linked with nothing
+      (component_id and kept NULL). Repeated doc_id: each row is returned with the least
+      component of the id's rows.
     - Equal sets form one class and are never expanded into pairs.
     - Empty table: empty result.
 
     At similarity 0.8 the default bands miss a pair with probability 7e-6.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    sketches = materialise(docs.mapInArrow(_sketch(width, bands, rows),
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    every = materialise(docs.mapInArrow(_sketch(width, bands, rows),
                                            "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"), "sketches")
+    docs, sketches = docs.where("doc_id IS NOT NULL"), every.where("doc_id IS NOT NULL")
+    nameless = every.where("doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     classes = materialise(sketches.where("digest IS NOT NULL").groupBy("digest")
                           .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
                                F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
@@ -244,19 +256,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     rest = now.join(split, "bucket", "left_semi").join(classes.select("rep", "signature"), "rep")
     blocks = rest.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     rest = _in_blocks(rest.select("bucket", "rep", "n_shingles", "component", "signature"), "bucket", blocks)
-    like = rest.groupBy("bucket", "low", "high").applyInPandas(_linked(percent, exact=False), "a long, b long").distinct()
+    # Dealt by pair of blocks: a large bucket's pairs must not follow its rows into one task.
+    like = rest.repartition("bucket", "low", "high").groupBy("bucket", "low", "high").applyInPandas(_linked(percent, exact=False), "a long, b long").distinct()
     cluster = materialise(components(like).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
     whole = cluster.join(classes.select("rep", "n_shingles", "signature"), "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left") \
         .join(_sets_of(cluster.select(F.col("rep").alias("id")), docs, width).withColumnRenamed("id", "rep"), "rep") \
         .select("cluster", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"), "signature", "shingles")
     whole = materialise(whole, "whole")
     blocks = whole.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    more = _in_blocks(whole, "cluster", blocks).groupBy("cluster", "low", "high").applyInPandas(_linked(percent, exact=True), "a long, b long")
+    more = _in_blocks(whole, "cluster", blocks).repartition("cluster", "low", "high").groupBy("cluster", "low", "high").applyInPandas(_linked(percent, exact=True), "a long, b long")
     links = links.union(materialise(more, "links"))
 
     found = components(links.union(same_id))
     return (sketches.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).union(nameless)
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
 
@@ -265,6 +278,6 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
 
     A row with a NULL doc_id stays. Rows that repeat a kept doc_id all stay.
     """
-    gone = near_duplicates(docs, **how).where("NOT kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, **how).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
     gone = materialise(gone, "dropped")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import small_side, uniform
+from tierlake.llm.common import free_names, let, quoted, small_side, uniform
 
 SEED, POWER = 42, 0.5
 #: Larger rates are the sum of independent draws of equal rates up to this one.
@@ -56,22 +56,25 @@ def replicate(docs: DataFrame, weights: DataFrame | None = None, power: float =
               seed: int = SEED) -> DataFrame:
     """``docs`` with each row as often as drawn, in a global random order, plus ``replica`` (1, 2 …).
 
-    ``docs`` needs ``doc_id`` and ``source``. A column named ``replica`` is
-    replaced; all others stay. Rows that share a doc_id get the same number of
-    copies; a NULL doc_id draws like one more id. A document drawn 0 times is
-    absent: that is how a source above its target shrinks. An empty table gives
-    an empty result. The texts move once, in the final shuffle.
+    ``docs`` needs ``doc_id``, ``source`` and ``text``. All its columns stay, whatever their
+    names; one named ``replica`` is replaced. Rows that share a doc_id get the same number of
+    copies; rows without one draw by their text (a NULL text draws like one more text).
+    A document drawn 0 times is absent: that is how a source above its target shrinks.
+    A source may be NULL. An empty table gives an empty result. The texts move once, in the final shuffle,
+    to a place that depends on id, text and copy, so equal ids don't meet in one task.
     """
-    plan = rates(docs, weights, power, total) \
-        .withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_RATE).cast("int"))) \
-        .withColumn("table", poisson_table(F.col("rate") / F.col("pieces"))) \
-        .select(F.col("source").alias("_source"), F.struct("pieces", "table").alias("_plan"))
-    kept = [docs[c] for c in docs.columns if c != "replica"]
-    drawn = docs.join(small_side(plan, BROADCAST_SOURCES), docs["source"].eqNullSafe(F.col("_source")))
+    n_rate, n_plan, n_source, n_copies, n_place = free_names(docs, "rate", "plan", "plan_source", "copies", "place")
+    plan = rates(docs, weights, power, total).withColumnRenamed("rate", n_rate) \
+        .withColumn("pieces", F.greatest(F.lit(1), F.ceil(F.col(n_rate) / MOST_RATE).cast("int"))) \
+        .withColumn("table", poisson_table(F.col(n_rate) / F.col("pieces"))) \
+        .select(F.col("source").alias(n_source), F.struct("pieces", "table").alias(n_plan))
+    kept = [F.col(quoted(c)) for c in docs.columns if c.lower() != "replica"]
+    drawn = docs.join(small_side(plan, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col(n_source)))
+    who = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("?")), 256)))
     copies = F.aggregate(
-        F.sequence(F.lit(1), F.col("_plan.pieces")), F.lit(0),
-        lambda a, piece: a + F.size(F.filter(F.col("_plan.table"), lambda c: c <= uniform(seed, docs["doc_id"], piece))))
-    drawn = drawn.select(*kept, copies.alias("_copies")).where("_copies > 0") \
-        .select(*[c for c in docs.columns if c != "replica"], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("replica"))
-    place = F.xxhash64(F.lit(seed), "doc_id", "replica")
-    return drawn.withColumn("_place", place).repartition("_place").sortWithinPartitions("_place").drop("_place")
+        F.sequence(F.lit(1), F.col(f"{n_plan}.pieces")), F.lit(0),
+        lambda a, piece: a + let(uniform(seed, who, piece), lambda u: F.size(F.filter(F.col(f"{n_plan}.table"), lambda c: c <= u))))
+    drawn = drawn.select(*kept, copies.alias(n_copies)).where(F.col(n_copies) > 0) \
+        .select(*kept, F.explode(F.sequence(F.lit(1), F.col(n_copies))).alias("replica"))
+    place = F.xxhash64(F.lit(seed), "doc_id", "replica", "text")
+    return drawn.withColumn(n_place, place).repartition(n_place).sortWithinPartitions(n_place).drop(n_place)

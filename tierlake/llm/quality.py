@@ -204,6 +204,14 @@ def score(stats: DataFrame, model: QualityModel, limit: float = 0.3) -> DataFram
 
 
 def quality(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> DataFrame:
-    """Score every row of ``docs``: the text is read once, its statistics are written and used for fit and score."""
+    """``doc_id, held_out, score, predicted`` of every row of ``docs`` (doc_id, text).
+
+    The text is read once, its statistics are written and used for fit and score.
+
+    - A NULL or empty text has statistics of zero and is scored by them; a NULL doc_id stays NULL and
+      is not held out. Rows with equal text get equal scores; rows that repeat an id are all returned,
+      and count once in the fit.
+    - Very long texts are read whole. Other columns are ignored. An empty table gives an empty result.
+    """
     stats = materialise(document_statistics(docs), "stats")
     return score(stats, fit(stats, labels), limit)

@@ -93,7 +93,44 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_rp_forest, op3_decontaminat
 _LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS_SQL = rf"unnest(regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
 
+# Components: every node with the least one that it reaches over ``edges`` (a, b), both ways.
+_REACH_SQL = """reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
+        least AS (SELECT node, min(other) AS component FROM reach GROUP BY node)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_rp_forest": f"""
+        WITH RECURSIVE good AS (
+            SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+                AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+        edges AS (SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.label = q.label AND len(p.x) = len(q.x) AND p.vec_id <> q.vec_id
+                  WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
+        {_REACH_SQL},
+        links AS (SELECT a, count(*)::BIGINT AS n FROM edges GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(component, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(component, vec_id)) AS kept
+        FROM embeddings LEFT JOIN links ON vec_id = a LEFT JOIN least ON vec_id = node""",
+    "op7_mixing": """
+        WITH counts AS (SELECT source, count(*)::BIGINT AS n, sqrt(count(*)::DOUBLE) AS weight FROM documents GROUP BY source),
+        rates AS (SELECT source, weight / (sum(weight) OVER ()) * (sum(n) OVER ()) / n AS rate FROM counts),
+        steps AS (SELECT source, rate, k, exp(k * ln(rate) - lgamma(k + 1) - rate) AS p
+                  FROM rates, LATERAL (SELECT unnest(generate_series(0, (rate + 12 * sqrt(rate) + 30)::INTEGER)) AS k)),
+        tables AS (SELECT source, list(c ORDER BY k) AS c FROM (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM steps) GROUP BY source),
+        drawn AS (SELECT d.*, len(list_filter(c, lambda x: x <= ('0x' || substr(md5('42:' || doc_id || ':1'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)) AS copies
+                  FROM documents d JOIN tables t ON t.source IS NOT DISTINCT FROM d.source)
+        SELECT * EXCLUDE (copies), unnest(generate_series(1, copies))::INTEGER AS replica FROM drawn""",
+    "op9_minhash": rf"""
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER_SQL}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])
+                                                         WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common FROM shingles p JOIN shingles q ON p.s = q.s AND p.doc_id < q.doc_id GROUP BY ALL),
+        found AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+        edges AS (SELECT a, b FROM found UNION ALL SELECT b, a FROM found),
+        {_REACH_SQL}
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(component, doc_id)) AS component_id,
+               doc_id = least(doc_id, coalesce(component, doc_id)) AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON doc_id = node""",
     "op11_lexical_search": f"""
         WITH words AS (SELECT doc_id, {_TERMS_SQL} AS term FROM documents),
         tfs AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
@@ -110,7 +147,8 @@ ORACLE_SQL: dict[str, str] = {
     "op13_collocations": rf"""
         WITH pieces AS (SELECT lang, row_number() OVER () AS piece, piece_text FROM (
             SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER_SQL}, '[.,;:!?
--]')) AS piece_text FROM documents)),
+-
+]')) AS piece_text FROM documents)),
         lists AS (SELECT lang, regexp_extract_all(piece_text, '[^ 	]+') AS w FROM pieces),
         runs AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
                  FROM lists, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),

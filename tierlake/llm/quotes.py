@@ -28,8 +28,6 @@ _PREFIX = re.compile(r"(?:[ \t]*>)+")
 #: A word that ends a sentence.
 _END = re.compile(r"[.!?…。！？][\"'”’)\]]*$")
 _BASE = 0x9E3779B97F4A7C15
-#: Bytes that a passage (or a line of it) needs to be looked up in other conversations.
-LEAST_ELSEWHERE = 20
 
 
 def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
@@ -57,10 +55,10 @@ def _hash(text: str) -> int:
 
 
 def _keys(text: str) -> list[tuple[int, int, bool]]:
-    """(rank, hash, may be looked up elsewhere): the whole text, then its lines."""
+    """(rank, hash): the whole text, then its lines."""
     whole = normal(text)
     lines = dict.fromkeys(x for x in map(normal, text.split("\n")) if x and x != whole)
-    return [(rank, _hash(x), len(x.encode()) >= LEAST_ELSEWHERE) for rank, x in enumerate([whole, *lines]) if x]
+    return [(rank, _hash(x)) for rank, x in enumerate([whole, *lines]) if x]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +103,7 @@ def runs_of(text: str, lengths: list[int], may_be_asked) -> dict[str, None]:
 
 
 _RUN = pa.struct([("words", pa.int32()), ("run", pa.int64())])
-_KEY = pa.struct([("rank", pa.int32()), ("hash", pa.int64()), ("far", pa.bool_())])
+_KEY = pa.struct([("rank", pa.int32()), ("hash", pa.int64())])
 _QUOTE = pa.struct([("number", pa.int32()), ("level", pa.int32()), ("keys", pa.list_(_KEY)), ("runs", pa.list_(_RUN))])
 
 
@@ -114,7 +112,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         ("own_keys", pa.list_(_KEY)), ("quotes", pa.list_(_QUOTE))])
 
     def key(x: tuple) -> dict:
-        return {"rank": x[0], "hash": x[1], "far": x[2]}
+        return {"rank": x[0], "hash": x[1]}
 
     def run(x: tuple) -> dict:
         return {"words": x[0], "run": x[1]}
@@ -132,7 +130,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _quoted_runs(parsed: DataFrame) -> DataFrame | None:
-    """``conv_id, turn, hash, far`` of the runs of own text that may have been quoted; None without quotes.
+    """``conv_id, turn, hash`` of the runs of own text that may have been quoted; None without quotes.
 
     The driver sees the distinct lengths of the quotes in words and a filter of fixed size.
     """
@@ -146,10 +144,9 @@ def _quoted_runs(parsed: DataFrame) -> DataFrame | None:
         for batch in batches:
             rows = [(k, x) for k, text in enumerate(batch.column("text").to_pylist()) if text for x in runs_of(text, lengths, asked_runs.may_hold)]
             part = batch.select(["conv_id", "turn"]).take(pa.array([k for k, _ in rows], pa.int64()))
-            yield pa.record_batch([*part.columns, pa.array([_hash(x) for _, x in rows], pa.int64()),
-                                   pa.array([len(x.encode()) >= LEAST_ELSEWHERE for _, x in rows], pa.bool_())], names=["conv_id", "turn", "hash", "far"])
+            yield pa.record_batch([*part.columns, pa.array([_hash(x) for _, x in rows], pa.int64())], names=["conv_id", "turn", "hash"])
 
-    return parsed.select("conv_id", "turn", "text").mapInArrow(found, "conv_id long, turn long, hash long, far boolean")
+    return parsed.select("conv_id", "turn", "text").mapInArrow(found, "conv_id long, turn long, hash long")
 
 
 def quote_links(parsed: DataFrame) -> DataFrame:
@@ -158,25 +155,24 @@ def quote_links(parsed: DataFrame) -> DataFrame:
     The original is the first message of the conversation that wrote the passage
     (else one of its lines), as its text, a line or a run of lines and sentences; it
     must come before the quote. If the conversation has none, the first message of the
-    other conversation of least id that wrote the passage (else one of its lines), of
-    ``LEAST_ELSEWHERE`` bytes or more: ids carry no time, so any other conversation may
-    hold it. Each key has one original (two, for quotes in the first one's own
+    other conversation of least id that wrote the passage (else one of its lines),
+    however short: ids carry no time, so any other conversation may hold it. Each key has one original (two, for quotes in the first one's own
     conversation), so a passage that very many messages hold or quote joins to one row.
     """
     asked = parsed.select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.number", "q.level", F.explode("q.keys").alias("k")) \
-        .select("conv_id", "turn", "number", "level", "k.rank", "k.hash", "k.far")
-    own = parsed.select("conv_id", "turn", F.explode("own_keys").alias("k")).select("conv_id", "turn", "k.hash", "k.far")
+        .select("conv_id", "turn", "number", "level", "k.rank", "k.hash")
+    own = parsed.select("conv_id", "turn", F.explode("own_keys").alias("k")).select("conv_id", "turn", "k.hash")
     runs = _quoted_runs(parsed)
     own = own if runs is None else own.union(runs)
     near = materialise(own.join(asked.select("hash").distinct(), "hash", "left_semi").groupBy("conv_id", "hash")
-                       .agg(F.min("turn").alias("to_turn"), F.max("far").alias("far")), "originals")
-    elsewhere = near.where("far").select("hash", F.struct("conv_id", F.col("to_turn").alias("turn")).alias("to"))
+                       .agg(F.min("turn").alias("to_turn")), "originals")
+    elsewhere = near.select("hash", F.struct("conv_id", F.col("to_turn").alias("turn")).alias("to"))
     first = elsewhere.groupBy("hash").agg(F.min("to").alias("first"))
     other = elsewhere.join(first, "hash").where("to.conv_id <> first.conv_id").groupBy("hash").agg(F.min("to").alias("other"))
     far = first.join(other, "hash", "left")
-    inside = asked.join(near.drop("far"), ["conv_id", "hash"]).where("to_turn < turn") \
+    inside = asked.join(near, ["conv_id", "hash"]).where("to_turn < turn") \
         .select("conv_id", "turn", "number", "level", F.lit(0).alias("place"), "rank", F.col("conv_id").alias("to_conv"), "to_turn")
-    outside = asked.where("far").join(far, "hash").withColumn("to", F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("other"))) \
+    outside = asked.join(far, "hash").withColumn("to", F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("other"))) \
         .where("to IS NOT NULL") \
         .select("conv_id", "turn", "number", "level", F.lit(1).alias("place"), "rank", F.col("to.conv_id").alias("to_conv"), F.col("to.turn").alias("to_turn"))
     return inside.union(outside).groupBy("conv_id", "turn", "number", "level") \
@@ -235,12 +231,14 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     - A NULL text stays NULL and has no quotes; a text of quotes only becomes empty.
     - A NULL conv_id or turn: the quotes are removed and counted, nothing is linked.
     - Rows that share (conv_id, turn) share their links; all of them are returned.
+    - Several originals of one passage: the least turn of the conversation, else of the least
+      other conversation. Very long texts are hashed whole, in time near linear in their length.
     - An empty table gives an empty result.
     """
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    parsed = materialise(rows.mapInArrow(_parsed, "conv_id long, turn long, role string, text string, own_keys array<struct<rank:int,hash:long,far:boolean>>, "
-                                         "quotes array<struct<number:int,level:int,keys:array<struct<rank:int,hash:long,far:boolean>>,runs:array<struct<words:int,run:long>>>>"), "parsed")
+    parsed = materialise(rows.mapInArrow(_parsed, "conv_id long, turn long, role string, text string, own_keys array<struct<rank:int,hash:long>>, "
+                                         "quotes array<struct<number:int,level:int,keys:array<struct<rank:int,hash:long>>,runs:array<struct<words:int,run:long>>>>"), "parsed")
     links = materialise(quote_links(parsed.where("conv_id IS NOT NULL AND turn IS NOT NULL")), "quote_links")
     # The lowest quote level is what the message answers; of several passages the last message.
     answers = links.groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked"), F.min(F.struct("level", -F.col("to_conv"), -F.col("to_turn"), "to_conv", "to_turn")).alias("best")) \

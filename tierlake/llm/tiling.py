@@ -19,29 +19,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import KeyFilter, materialise, signed, small_side
+from tierlake.llm.common import KeyFilter, free_names, materialise, signed, small_side
 from tierlake.llm.text import rolling, slices, words_of
 
 MIN_MATCH, COVERAGE = 5, 0.6
 
 
+#: Window matches of one document and item that are looked at together.
+MATCHES = 1_000_000
+
+
+def runs(i: np.ndarray, j: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Window matches ``(item position, document position)``, or runs of ``n`` of them, put together
+    to the longest runs along their diagonals. Repeated matches count once."""
+    n = np.ones(len(i), np.int64) if n is None else n
+    order = np.lexsort((i, j - i))
+    i, j, n = i[order], j[order], n[order]
+    # A run goes on where the next one begins at or before its end.
+    joined = (j[1:] - i[1:] == j[:-1] - i[:-1]) & (i[1:] <= i[:-1] + n[:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~joined])) if len(i) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(i)) - 1 if len(i) else first
+    return i[first], j[first], i[last] + n[last] - i[first]
+
+
 def tiles(seeds: list[tuple[int, int]], width: int) -> list[tuple[int, int, int]]:
-    """Greedy tiling from window matches ``(item position, document position)``.
+    """:func:`greedy` from window matches ``(item position, document position)``."""
+    pairs = np.array(seeds, np.int64).reshape(-1, 2)
+    return greedy(*runs(pairs[:, 0], pairs[:, 1]), width)
+
+
+def greedy(i: np.ndarray, j: np.ndarray, n: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """Greedy tiling from runs of ``n`` window matches.
 
     Returns ``(item start, document start, length)``, no token in two tiles.
     Longest first; ties by item position, then document position.
     """
-    heap: list[tuple[int, int, int]] = []
-    run: list[int] | None = None
-    for diagonal, i in sorted({(j - i, i) for i, j in seeds}):
-        if run and run[0] == diagonal and run[2] == i:
-            run[2] += 1
-            continue
-        if run:
-            heap.append((-(run[2] - run[1] + width - 1), run[1], run[1] + run[0]))
-        run = [diagonal, i, i + 1]
-    if run:
-        heap.append((-(run[2] - run[1] + width - 1), run[1], run[1] + run[0]))
+    heap = list(zip((-(n + width - 1)).tolist(), i.tolist(), j.tolist(), strict=True))
     heapq.heapify(heap)
     item_marks, doc_marks, out = set(), set(), []
     while heap:
@@ -114,6 +127,28 @@ def _doc_seeds(keys: KeyFilter, widths: list[int], min_match: int):
     return run
 
 
+def _runs_of(places: np.ndarray, seeds: np.ndarray, item_seeds: np.ndarray, item_places: pa.ListArray):
+    """Runs of window matches from the document's (place, seed) and the item's places of each seed.
+
+    Matches are made ``MATCHES`` at a time, so a document and an item that both repeat
+    one word need memory for their runs, not for all pairs of places."""
+    order = np.argsort(places, kind="stable")
+    places, at = places[order], np.searchsorted(item_seeds, seeds[order])
+    ends = np.asarray(item_places.offsets, np.int64)
+    flat = item_places.values.to_numpy(zero_copy_only=False).astype(np.int64)
+    many = ends[at + 1] - ends[at]
+    out = tuple(np.zeros(0, np.int64) for _ in range(3))
+    cut = np.searchsorted(np.cumsum(many), np.arange(MATCHES, max(1, int(many.sum())), MATCHES))
+    for part in np.split(np.arange(len(places)), np.unique(cut)):
+        k = many[part]
+        j = np.repeat(places[part], k)
+        within = np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k)
+        i = flat[np.repeat(ends[at[part]], k) + within]
+        new = runs(i, j)
+        out = runs(*(np.concatenate(x) for x in zip(out, new, strict=True)))
+    return out
+
+
 def _tile_rows(coverage: float):
     tile = pa.struct([("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())])
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()),
@@ -122,12 +157,20 @@ def _tile_rows(coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                seeds = [(i, m["place"]) for m in r["matches"] for i in m["places"]]
-                reach = len({i + k for i, _ in seeds for k in range(r["width"])})
-                if reach < coverage * r["n_tokens"]:
+            for k in range(batch.num_rows):
+                r = {c: batch.column(c)[k].as_py() for c in ("key", "doc_id", "item_id", "n_tokens", "width")}
+                matches, places = batch.column("matches")[k].values, batch.column("places")[k].values
+                item_seeds = places.field("seed").to_numpy(zero_copy_only=False)
+                order = np.argsort(item_seeds)
+                i, j, n = _runs_of(matches.field("place").to_numpy(zero_copy_only=False).astype(np.int64),
+                                   matches.field("seed").to_numpy(zero_copy_only=False), item_seeds[order],
+                                   places.field("places").take(pa.array(order)))
+                under = np.zeros(r["n_tokens"] + 1, np.int64)
+                np.add.at(under, i, 1)
+                np.add.at(under, i + n + r["width"] - 1, -1)
+                if (np.cumsum(under)[:-1] > 0).sum() < coverage * r["n_tokens"]:
                     continue
-                found = tiles(seeds, r["width"])
+                found = greedy(i, j, n, r["width"])
                 share = sum(t[2] for t in found) / r["n_tokens"]
                 if share >= coverage:
                     rows.append({"key": r["key"], "doc_id": r["doc_id"], "item_id": r["item_id"], "coverage": share,
@@ -156,6 +199,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
       (:func:`for_all_items` adds the others).
     - NULL or empty documents match nothing; a NULL doc_id is judged and stays NULL.
     - Rows equal in id and text give one result; empty tables give none.
+    - Of equally long matches the first in the item, then in the document, is marked first.
+    - Very long texts are read whole; a task holds a document's places of benchmark windows, and
+      runs of matches in place of all pairs of places.
     - Extra columns are ignored.
 
     A document's windows pass a fixed-size Bloom filter of the benchmark's windows
@@ -170,12 +216,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     seeds = KeyFilter.build(items.select("seed"))
     rows = docs.select(_key(docs).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hits = rows.mapInArrow(_doc_seeds(seeds, widths, min_match), "key long, doc_id long, place int, seed long")
-    matches = hits.join(small_side(items, 200_000), "seed") \
+    matches = hits.join(small_side(items.drop("places"), 200_000), "seed") \
         .groupBy("key", "item_id").agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.first("width").alias("width"),
-                                       F.collect_set(F.struct("place", "places")).alias("matches"))
+                                       F.collect_set(F.struct("place", "seed")).alias("matches"))
     # A tiling of the needed coverage has at least one window for every ``width`` tokens that it covers.
     matches = matches.where(F.col("width") * F.size("matches") >= F.lit(coverage) * F.col("n_tokens") - F.col("width"))
-    return matches.mapInArrow(_tile_rows(coverage), "key long, doc_id long, item_id long, coverage double, "
+    places = items.groupBy("item_id").agg(F.collect_list(F.struct("seed", "places")).alias("places"))
+    return matches.join(small_side(places, 20_000), "item_id").mapInArrow(_tile_rows(coverage), "key long, doc_id long, item_id long, coverage double, "
                               "tiles array<struct<item_start:int,doc_start:int,length:int>>")
 
 
@@ -192,5 +239,5 @@ def for_all_items(pairs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay."""
     found = materialise(contaminated(docs, benchmark, **how).select("key").distinct(), "contaminated")
-    name = "_key_of_row"
-    return docs.withColumn(name, _key(docs)).join(small_side(found.withColumnRenamed("key", name), 1_000_000), name, "left_anti").select(*[docs[c] for c in docs.columns])
+    name, gone = free_names(docs, "key_of_row", "key_gone")
+    return docs.withColumn(name, _key(docs)).join(small_side(found.withColumnRenamed("key", gone), 1_000_000), F.col(name) == F.col(gone), "left_anti").drop(name)

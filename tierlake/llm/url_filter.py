@@ -94,7 +94,7 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, fit_rows: int = FIT_R
     - An empty table gives an empty result.
 
     ``fit_rows`` bounds the labelled sample for the trees (drawn by a hash of the
-    id); suffix statistics count all labelled urls.
+    id, each verdict apart); suffix statistics count all labelled urls but the judged one.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")) \
@@ -107,18 +107,22 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, fit_rows: int = FIT_R
     if not 0 < base < 1:
         return rows.select("page_id", "host", "path", "rule", F.when(F.coalesce("block", F.lit(float(base))) >= 0.5, "block").otherwise("allow").alias("verdict"),
                            F.when(F.col("rule").isNull(), F.lit(float(base))).alias("p_block"))
+    # A labelled url's suffix statistics leave its own label out, else the trees would read it there.
+    own = F.coalesce("block", F.lit(0.0))
     for k in (1, 2):
-        stats = rows.where("block IS NOT NULL").groupBy(f"suffix{k}").agg(
-            ((F.sum("block") + 5 * base) / (F.count("*") + 5)).alias(f"suffix{k}_rate"), F.log1p(F.count("*")).alias(f"suffix{k}_seen"))
+        stats = rows.where("block IS NOT NULL").groupBy(f"suffix{k}").agg(F.sum("block").alias("_blocked"), F.count("*").alias("_seen"))
+        others = F.coalesce("_seen", F.lit(0)) - F.col("block").isNotNull().cast("int")
         rows = rows.join(small_side(materialise(stats, "suffixes"), 100_000), f"suffix{k}", "left") \
-            .fillna({f"suffix{k}_rate": float(base), f"suffix{k}_seen": 0.0})
+            .withColumns({f"suffix{k}_rate": (F.coalesce("_blocked", F.lit(0.0)) - own + 5 * base) / (others + 5), f"suffix{k}_seen": F.log1p(others)}) \
+            .drop("_blocked", "_seen")
     rows = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(rows)
-    sample = rows.where("block IS NOT NULL").where(uniform(seed, F.col("page_id")) < min(1.0, fit_rows / n)).select("vector", "block")
+    # Both verdicts are drawn apart, up to half the bound each, and weighted back to their shares.
+    share = {1.0: min(1.0, fit_rows / 2 / (n * base)), 0.0: min(1.0, fit_rows / 2 / (n * (1 - base)))}
+    rate = F.when(F.col("block") == 1, share[1.0]).otherwise(share[0.0])
+    sample = rows.where("block IS NOT NULL").where(uniform(seed, F.col("page_id")) < rate).select("vector", "block", (1 / rate).alias("weight"))
     # A bounded sample in a fixed number of parts and a fixed order: the same trees each time.
     sample = materialise(sample.repartition(8, F.xxhash64("vector")).sortWithinPartitions(F.xxhash64("vector")), "sample")
-    if sample.agg(F.countDistinct("block")).first()[0] < 2:
-        sample = rows.where("block IS NOT NULL").select("vector", "block")
-    model = GBTClassifier(featuresCol="vector", labelCol="block", maxIter=12, maxDepth=4, stepSize=0.3, seed=seed).fit(sample)
+    model = GBTClassifier(featuresCol="vector", labelCol="block", weightCol="weight", maxIter=12, maxDepth=4, stepSize=0.3, seed=seed).fit(sample)
     judged = model.transform(rows).withColumn("p", vector_to_array("probability")[1])
     return judged.select("page_id", "host", "path", "rule",
                          F.when(F.coalesce("block", F.col("p")) >= 0.5, "block").otherwise("allow").alias("verdict"),
