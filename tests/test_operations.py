@@ -2,6 +2,7 @@
 quality gate and SQL views over the layers."""
 
 import datetime as dt
+import os
 
 import pytest
 
@@ -9,7 +10,7 @@ from tierlake.operators.manifest import plan_downloads
 from tierlake.plans.lakehouse import DataQualityError, Lakehouse, stage
 from tierlake.plans.operations_log import OperationsLog
 from tierlake.schemas import GOLD_SCHEMA, OPLOG_SCHEMA, ddl
-from tierlake.session import object_store_conf
+from tierlake.session import catalog_conf, object_store_conf
 from tierlake.sources.listing import list_files
 
 
@@ -18,7 +19,8 @@ def d(day):
 
 
 def test_operations_log_table(spark, workdir):
-    log = OperationsLog(spark, f"{workdir}/log", keep_versions=2)
+    log = OperationsLog(spark, f"{workdir}/log")
+    assert log.read().count() == 0 and log.retry_candidates().count() == 0
     log.log_status("a.parquet", "u/a", "failed", d(1), "timeout")
     log.log_status("a.parquet", "u/a", "failed", d(2), "again")   # a later attempt
     log.log_status("b.parquet", "u/b", "failed", d(1), "it's broken")
@@ -30,7 +32,26 @@ def test_operations_log_table(spark, workdir):
     assert {r.fileName for r in log.retry_candidates().collect()} == {"a.parquet", "b.parquet"}
     log.log_status("a.parquet", "u/a", "done", d(4))    # clears the failure
     assert {r.fileName for r in log.retry_candidates().collect()} == {"b.parquet"}
-    assert len(log.table._versions()) == 2
+    # One appended file holds the last attempt; the compacted rows are as they were.
+    assert len(log._generations()) == 1 and log.files() >= 2
+
+
+def test_attempts_are_appended_and_compacted(spark, workdir):
+    log = OperationsLog(spark, f"{workdir}/log", compact_above=3)
+    folder = log._folder(0)
+    for n in range(1, 5):
+        before = set(os.listdir(folder)) if n > 1 else set()
+        log.log_status(f"f{n % 2}", "u", "failed" if n < 4 else "done", d(n))
+        assert len({f for f in set(os.listdir(folder)) - before if f.endswith(".parquet")}) == 1
+    # A compaction that was stopped has no success marker and is not read.
+    os.makedirs(log._folder(1))
+    assert log.files() == 4 and log.read().count() == 4
+    log.log_status("f2", "u", "failed", d(9))
+    assert log._generations() == [1] and log.files() < 4 and log.read().count() == 5
+    assert {r.fileName for r in log.retry_candidates().collect()} == {"f1", "f2"}
+    assert log.failed_count("f1") == 2
+    plan = log.read().where("fileName = 'f1' AND status = 'failed'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(fileName,f1)" in plan and "EqualTo(status,failed)" in plan
 
 
 def test_plan_downloads_from_listing(spark, workdir):
@@ -59,6 +80,12 @@ def test_object_store_conf_and_ddl():
     assert "`total_revenue` double" in text and "PARTITIONED BY (year, month, day)" in text
 
 
+def test_catalog_settings():
+    conf = catalog_conf("lake", "org.example.Catalog", type="hive", uri="thrift://host:9083")
+    assert conf == {"spark.sql.catalog.lake": "org.example.Catalog", "spark.sql.catalog.lake.type": "hive",
+                    "spark.sql.catalog.lake.uri": "thrift://host:9083"}
+
+
 def test_stage_counts_rows_while_writing(spark):
     df, n = stage(spark.range(1234), "count-test")
     assert n == 1234 and df.count() == 1234

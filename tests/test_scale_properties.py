@@ -20,7 +20,6 @@ def test_hot_unmatched_key_holding_a_third_of_the_source(spark):
     target = spark.range(n, 2 * n).select("id", F.lit("t").alias("v"))
     for strategy in ("broadcast", "shuffle"):
         r = merge_plan(target, source, ["id"], strategy=strategy)
-        assert r.stats.duplicate_keys == 1 and r.stats.keyed_rows == n
         assert r.df.count() == 2 * n
         assert r.df.where("id = -1").count() == n // 3
 

@@ -1,6 +1,8 @@
 """Stored layers hold what a query over the layer below gives."""
 
 import datetime as dt
+import glob
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,12 +37,13 @@ def test_gold_sums_all_stored_rows_of_a_touched_trip(spark, workdir):
     assert {(r["id"], r["total_revenue"]) for r in lake.gold.read().collect()} == want
 
 
-def test_a_row_without_key_columns_is_blocked_before_silver(spark, workdir):
+def test_a_row_without_key_columns_is_blocked_before_bronze(spark, workdir):
     lake = Lakehouse(spark, f"{workdir}/lake")
     empty = trip(spark, **{f.name: None for f in RAW_TRIP_SCHEMA.fields})
-    with pytest.raises(DataQualityError):
-        lake.run_batch(empty, "b1", NOW)
-    assert lake.silver.read().count() == 0
+    for bad in (empty, trip(spark, total_amount=None), trip(spark, tpep_dropoff_datetime=None)):
+        with pytest.raises(DataQualityError):
+            lake.run_batch(bad, "b1", NOW)
+    assert lake.bronze.read().count() == lake.silver.read().count() == 0
     plan = quality_report(silver_transform(empty), rules=("key_columns_present",))._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan
 
@@ -95,3 +98,90 @@ def test_other_rows_under_a_known_id_are_refused(spark, workdir):
     assert again.row_counts["b1", "bronze"] == again.row_counts["b1", "gold"] == 0
     lake.run_batch(more, "b2", NOW)
     assert lake.bronze.read().count() == 2
+
+
+def moved(spark):
+    """A trip without a dropoff, and one without a pickup, under one id (ids skip NULLs)."""
+    x = dt.datetime(2024, 1, 5, 8)
+    return (trip(spark, tpep_pickup_datetime=x, tpep_dropoff_datetime=None),
+            trip(spark, tpep_pickup_datetime=None, tpep_dropoff_datetime=x, trip_distance=7.0))
+
+
+def test_a_trip_that_moves_has_one_row_in_silver_and_gold(spark, workdir):
+    lake = Lakehouse(spark, f"{workdir}/lake", blocking_rules=(), daily_rollup=True)
+    first, second = moved(spark)
+    other = trip(spark, tpep_dropoff_datetime=dt.datetime(2024, 1, 5, 11))
+    lake.run_batch(first.union(other), "b1", NOW)
+    lake.run_batch(second, "b2", dt.datetime(2024, 2, 1))
+    lake.run_batch(second, "b2", dt.datetime(2024, 2, 1))
+    got = lake.silver.read().where("trip_distance = 7").collect()
+    assert len(got) == 1 and lake.silver.read().count() == 2
+    assert sorted((r["day"], r["total_revenue"]) for r in lake.gold.read().collect()) == [(5, 10.0), (5, 10.0)]
+    assert [(r["day"], r["total_revenue"], r["trip_count"]) for r in lake.gold_daily.read().collect()] == [(5, 20.0, 2)]
+    lake.run_batch(first.withColumn("trip_distance", F.lit(8.0)), "b3", NOW)
+    assert sorted((r["day"] or 0, r["total_revenue"]) for r in lake.gold.read().collect()) == [(0, 10.0), (5, 10.0)]
+    assert sorted((r["day"] or 0, r["total_revenue"], r["trip_count"]) for r in lake.gold_daily.read().collect()) == [(0, 10.0, 1), (5, 10.0, 1)]
+
+
+def test_layers_follow_the_batches_they_lack(spark, workdir):
+    now = dt.datetime(2024, 3, 1)
+    lake = Lakehouse(spark, f"{workdir}/lake", blocking_rules=(), daily_rollup=True)
+    first, second = moved(spark)
+    months = [trip(spark, tpep_pickup_datetime=dt.datetime(2024, m, 5, 8), tpep_dropoff_datetime=dt.datetime(2024, m, 5, 9)) for m in (1, 2, 3)]
+    lake.run_batch(first.union(months[0]), "b1", NOW)
+    lake.load_bronze(second.union(months[1]), "b2", now)
+    lake.load_bronze(months[2].union(months[1].withColumn("trip_distance", F.lit(9.0))), "b3", now)
+    assert lake.lacking("silver") == ["b2", "b3"] and lake.lacking("gold") == []
+    plan = lake.bronze.extract_batch("b3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [to_json" in plan and "EqualTo(batch_id,b3)" in plan
+    # Only the two months of the batch are opened.
+    read = lake.bronze.in_partitions(lake.bronze.commit_of("b3")["partitions"]).select("pickup_month").distinct().collect()
+    assert sorted(r["pickup_month"] for r in read) == ["2024-02", "2024-03"]
+    assert lake.silver_from_new_batches(now) == ["b2", "b3"] and lake.silver_from_new_batches(now) == []
+    assert lake.gold_from_new_batches(now) == ["b2", "b3"] and lake.lacking("gold") == []
+    whole = Lakehouse(spark, f"{workdir}/whole", blocking_rules=(), daily_rollup=True)
+    whole.run_batch(first.union(months[0]), "b1", NOW)
+    whole.run_batch(second.union(months[1]), "b2", now)
+    whole.run_batch(months[2].union(months[1].withColumn("trip_distance", F.lit(9.0))), "b3", now)
+    for name in ("silver", "gold"):
+        a, b = (sorted(map(tuple, getattr(x, name).read().drop("ingested_date").collect()), key=repr) for x in (lake, whole))
+        assert a == b
+    days = ["year", "month", "day", "total_revenue", "trip_count"]
+    assert sorted(map(tuple, lake.gold_daily.read().select(*days).collect()), key=repr) == \
+        sorted(map(tuple, whole.gold_daily.read().select(*days).collect()), key=repr)
+
+
+def test_the_daily_table_rewrites_only_touched_months(spark, workdir):
+    lake = Lakehouse(spark, f"{workdir}/lake", daily_rollup=True)
+    jan, feb = (trip(spark, tpep_pickup_datetime=dt.datetime(2024, m, 5, 8), tpep_dropoff_datetime=dt.datetime(2024, m, 5, 9)) for m in (1, 2))
+    lake.run_batch(jan.union(feb), "b1", NOW)
+    january = sorted(glob.glob(f"{lake.gold_daily.root}/year=2024/month=1/*.parquet"))
+    lake.run_batch(feb.withColumn("total_amount", F.lit(3.0)), "b2", NOW)
+    assert january and sorted(glob.glob(f"{lake.gold_daily.root}/year=2024/month=1/*.parquet")) == january
+    assert sorted((r["month"], r["total_revenue"], r["trip_count"]) for r in lake.gold_daily.read().collect()) == [(1, 10.0, 1), (2, 13.0, 2)]
+
+
+def test_catalog_tables_are_created_read_by_name_and_dropped(spark, workdir):
+    from tierlake.sinks.catalog_tables import append_rows, create_table, drop_table, extract_batch, publish, refresh_partitions
+
+    lake = Lakehouse(spark, f"{workdir}/lake")
+    lake.run_batch(trip(spark), "b1", NOW)
+    name = f"spark_catalog.default.gold_{uuid.uuid4().hex}"
+    publish(lake.gold, name)
+    assert spark.read.table(name).count() == 1
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["year=2024/month=1/day=5"]
+    lake.run_batch(trip(spark, tpep_dropoff_datetime=dt.datetime(2024, 2, 1, 9)), "b2", NOW)
+    refresh_partitions(spark, name)
+    assert spark.sql(f"SELECT id FROM {name} WHERE month = 2").count() == 1
+    assert extract_batch(spark, name, "b2").count() == 1 and extract_batch(spark, name).count() == 2
+    plan = spark.read.table(name).where("month = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    drop_table(spark, name)
+    assert not spark.catalog.tableExists(name) and lake.gold.read().count() == 2
+    raw = f"spark_catalog.default.raw_{uuid.uuid4().hex}"
+    create_table(spark, raw, RAW_TRIP_SCHEMA, f"{workdir}/raw")
+    append_rows(trip(spark).select(*reversed(RAW_TRIP_SCHEMA.fieldNames())), raw)
+    assert spark.read.table(raw).collect() == trip(spark).collect()
+    create_table(spark, raw, RAW_TRIP_SCHEMA, f"{workdir}/raw2")   # dropped and created anew
+    assert spark.read.table(raw).count() == 0
+    drop_table(spark, raw)

@@ -6,7 +6,7 @@ Layers:
     operators/  relational building blocks (upsert, conform, keep-latest, ops log,
                 file manifest, data quality)
     plans/      the layer transforms (bronze, silver, gold) and the batch pipeline
-    sinks/      versioned and partitioned Parquet tables, failure log
+    sinks/      partitioned and catalog tables, failure log
     streaming/  the same steps driven incrementally by Structured Streaming
 """
 

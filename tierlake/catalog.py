@@ -8,6 +8,8 @@ same tables that computes the same result independently of the DataFrame code.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,10 +21,11 @@ from tierlake.functions.files import DEFAULT_BASE_URL, basename
 from tierlake.functions.time import ntz_literal
 from tierlake.operators import oplog
 from tierlake.operators.audit import stamp_audit
-from tierlake.operators.manifest import expected_files, missing_files
+from tierlake.operators.manifest import completeness, expected_files, missing_files, present_from_listing
 from tierlake.operators.merge import merge_upsert
 from tierlake.operators.quality import quality_report
 from tierlake.plans.layers import (
+    bronze_batch,
     bronze_rows,
     gold_batch,
     gold_daily_revenue,
@@ -32,12 +35,19 @@ from tierlake.plans.layers import (
     silver_transform,
     top_rows,
 )
-from tierlake.schemas import BRONZE_KEYS, GOLD_KEYS, SILVER_KEYS
+from tierlake.plans.lakehouse import Lakehouse
+from tierlake.plans.operations_log import OperationsLog
+from tierlake.schemas import BRONZE_KEYS, BRONZE_SCHEMA, GOLD_KEYS, SILVER_KEYS
+from tierlake.session import scratch_path
+from tierlake.sinks.catalog_tables import append_rows, create_table, extract_batch
 from tierlake.sources.files import read_trip_files
+from tierlake.sources.listing import list_files
+from tierlake.streaming.log_state import follow_log, latest_table
 from tierlake.sources.fixtures import (
     TABLES,
     as_oplog,
     as_trips,
+    lake_batches,
     read_table,
     ship_year_range,
     shipped_files,
@@ -46,6 +56,7 @@ from tierlake.sources.fixtures import (
 
 # Fixed parameters of the test queries.
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"      # clocks of batch b1, b2
+CLOCKS = [dt.datetime.fromisoformat(t) for t in (T1, T2)]
 # Every event is on one side: logged before, or new from then on.
 LOG_CUT = "2024-01-10 00:00:00"
 PROBE_FILE = "file_8"
@@ -79,7 +90,36 @@ def _oplog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scan_bronze(spark, sf):
-    return _bronze(spark, sf)
+    # Monthly files of two physical schemas: a narrow vendor without the fee, a wide one with it.
+    landing = scratch_path(spark, "landing")
+    trips = as_trips(read_table(spark, sf, "lineitem"))
+    (trips.where("payment_type <= 3").withColumn("VendorID", F.col("VendorID").cast("int")).drop("airport_fee")
+     .write.parquet(f"{landing}/early"))
+    trips.where("payment_type > 3").write.parquet(f"{landing}/late")
+    return bronze_rows(read_trip_files(spark, landing))
+
+
+def q_present_files(spark, sf):
+    return present_from_listing(list_files(spark, [table_path(sf, t) for t in TABLES], "*")
+                                .select(F.regexp_extract("path", r"([^/]+\.parquet)(/part-[^/]*)?$", 1).alias("path"))).distinct()
+
+
+def q_file_completeness(spark, sf):
+    # Declared: the stored length, for one table a byte more, for one unknown, and a file that is not there.
+    stored = list_files(spark, [table_path(sf, t) for t in TABLES], "*").withColumn("path", F.regexp_extract("path", r"([^/]+\.parquet)(/part-[^/]*)?$", 1)) \
+        .groupBy("path").agg(F.sum("length").alias("length"))
+    declared = stored.select(F.col("path").alias("file_name"), F.when(F.col("path") == "orders.parquet", F.col("length") + 1)
+                             .when(F.col("path") != "events.parquet", F.col("length")).alias("declared_length"))
+    absent = spark.range(1).select(F.lit("absent.parquet").alias("file_name"), F.lit(1).cast("long").alias("declared_length"))
+    return completeness(declared.unionByName(absent), stored).select("file_name", "complete")
+
+
+def q_log_stream_latest(spark, sf):
+    root = scratch_path(spark, "log-latest")
+    schema = read_table(spark, sf, "events").schema
+    follow_log(spark, sf, root, pattern="events.parquet", checkpoint=scratch_path(spark, "log-checkpoint"),
+               read=as_oplog, schema=schema).awaitTermination()
+    return latest_table(spark, root).read()
 
 
 def q_scan_with_lineage(spark, sf):
@@ -142,8 +182,53 @@ def q_merge_gold(spark, sf):
                         preserve=["ingested_date"])
 
 
+def q_table_scan(spark, sf):
+    name = f"spark_catalog.default.trip_info_b_{uuid.uuid4().hex}"
+    create_table(spark, name, BRONZE_SCHEMA, scratch_path(spark, "trip_info_b"))
+    for batch, rows in zip(("b1", "b2"), _split(spark, sf)):
+        append_rows(bronze_batch(rows, batch, T1), name)
+    return extract_batch(spark, name, "b2")
+
+
+def _lake(spark: SparkSession, **options) -> Lakehouse:
+    # The batches hold rows without a pickup or dropoff on purpose.
+    return Lakehouse(spark, scratch_path(spark, "lakehouse"), blocking_rules=(), **options)
+
+
+def _two_batches(spark: SparkSession, sf: str, lake: Lakehouse) -> Lakehouse:
+    for batch, now, rows in zip(("b1", "b2"), CLOCKS, lake_batches(as_trips(read_table(spark, sf, "lineitem")))):
+        lake.run_batch(rows, batch, now)
+    return lake
+
+
+def q_lakehouse_silver(spark, sf):
+    lake = _lake(spark)
+    for batch, now, rows in zip(("b1", "b2"), CLOCKS, lake_batches(as_trips(read_table(spark, sf, "lineitem")))):
+        lake.bronze_to_silver(lake.load_bronze(rows, batch, now), batch, now)
+    return lake.silver.read()
+
+
+def q_silver_from_new_batches(spark, sf):
+    lake = _lake(spark)
+    for batch, now, rows in zip(("b1", "b2"), CLOCKS, lake_batches(as_trips(read_table(spark, sf, "lineitem")))):
+        lake.load_bronze(rows, batch, now)
+    lake.silver_from_new_batches(CLOCKS[1])
+    return lake.silver.read().drop("updated_date", "ingested_date")
+
+
+def q_lakehouse_gold(spark, sf):
+    return _two_batches(spark, sf, _lake(spark)).gold.read()
+
+
+def q_lakehouse_gold_daily(spark, sf):
+    return _two_batches(spark, sf, _lake(spark, daily_rollup=True)).gold_daily.read().select(
+        "year", "month", "day", "total_revenue", "trip_count")
+
+
 def q_log_failed_count(spark, sf):
-    return oplog.failed_count(_oplog(spark, sf), PROBE_FILE)
+    log = OperationsLog(spark, scratch_path(spark, "operations-log"))
+    log.append(_oplog(spark, sf))
+    return oplog.failed_count(log.read(), PROBE_FILE)
 
 
 def q_log_insert_if_absent(spark, sf):
@@ -187,6 +272,9 @@ QUERIES: dict[str, Query] = {
     "scan_bronze": q_scan_bronze,
     "scan_with_lineage": q_scan_with_lineage,
     "file_row_counts": q_file_row_counts,
+    "present_files": q_present_files,
+    "file_completeness": q_file_completeness,
+    "log_stream_latest": q_log_stream_latest,
     "silver_project": q_silver_project,
     "silver_trip_id": q_silver_trip_id,
     "conform_schema": q_conform_schema,
@@ -196,6 +284,11 @@ QUERIES: dict[str, Query] = {
     "merge_bronze": q_merge_bronze,
     "merge_silver": q_merge_silver,
     "merge_gold": q_merge_gold,
+    "table_scan": q_table_scan,
+    "lakehouse_silver": q_lakehouse_silver,
+    "silver_from_new_batches": q_silver_from_new_batches,
+    "lakehouse_gold": q_lakehouse_gold,
+    "lakehouse_gold_daily": q_lakehouse_gold_daily,
     "log_failed_count": q_log_failed_count,
     "log_insert_if_absent": q_log_insert_if_absent,
     "log_latest_ts": q_log_latest_ts,
@@ -265,6 +358,23 @@ SELECT s.* REPLACE (COALESCE(m.ingested_date, s.ingested_date) AS ingested_date)
 FROM s LEFT JOIN t AS m ON {on_m}"""
 
 
+# The two batches of fixtures.lake_batches, and silver after both.
+_LAKE = f"""{_TRIPS},
+tgt AS (SELECT * REPLACE (CASE WHEN VendorID % 10 <> 0 THEN tpep_dropoff_datetime END AS tpep_dropoff_datetime)
+        FROM bronze WHERE payment_type <= 5),
+src AS (SELECT * REPLACE (trip_distance * 2 AS trip_distance,
+                          CASE WHEN VendorID % 10 <> 0 THEN tpep_pickup_datetime END AS tpep_pickup_datetime,
+                          CASE WHEN VendorID % 10 = 0 THEN tpep_pickup_datetime ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime)
+        FROM bronze WHERE payment_type >= 4),
+t AS (SELECT * REPLACE (CAST(VendorID AS INTEGER) AS VendorID), {_audit('b1', T1)} FROM ({_silver_of('tgt')})),
+s AS (SELECT * REPLACE (CAST(VendorID AS INTEGER) AS VendorID), {_audit('b2', T2)} FROM ({_silver_of('src')})),
+silver AS (SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.trip_id = t.trip_id)
+           UNION ALL
+           SELECT s.* REPLACE (COALESCE(m.ingested_date, s.ingested_date) AS ingested_date) FROM s LEFT JOIN t AS m ON s.trip_id = m.trip_id),
+gold AS (SELECT trip_id AS id, CAST(year(dropoff_datetime) AS INTEGER) AS year, CAST(month(dropoff_datetime) AS INTEGER) AS month,
+                CAST(day(dropoff_datetime) AS INTEGER) AS day, sum(total_amount) AS total_revenue, max(batch_id) AS batch_id,
+                max(updated_date) AS updated_date, min(ingested_date) AS ingested_date FROM silver GROUP BY ALL)"""
+
 _OPLOG = f"""ol AS (
   SELECT concat('file_', CAST(user_id AS VARCHAR)) AS fileName,
          concat('{DEFAULT_BASE_URL}', 'file_', CAST(user_id AS VARCHAR)) AS downloadURL,
@@ -288,7 +398,16 @@ FROM (SELECT unnest(generate_series(make_date(s, 1, 1), make_date(e, 12, 1),
             FROM lineitem))""".replace("{base}", DEFAULT_BASE_URL)
 
 ORACLE_SQL: dict[str, str] = {
-    "scan_bronze": f"WITH {_TRIPS} SELECT * FROM bronze",
+    "scan_bronze": f"""WITH {_TRIPS}
+SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance, PULocationID, DOLocationID, payment_type, total_amount,
+       CAST(NULL AS INTEGER) AS passenger_count, CAST(NULL AS INTEGER) AS RatecodeID, CAST(NULL AS VARCHAR) AS store_and_fwd_flag,
+       {', '.join(f'CAST(NULL AS DOUBLE) AS {c}' for c in ('fare_amount', 'extra', 'mta_tax', 'tip_amount', 'tolls_amount', 'improvement_surcharge', 'congestion_surcharge'))}
+FROM bronze""",
+    "present_files": " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name" for t in TABLES),
+    "file_completeness": " UNION ALL ".join(
+        [f"SELECT '{t}.parquet' AS file_name, {'false' if t == 'orders' else 'true'} AS complete" for t in TABLES] +
+        ["SELECT 'absent.parquet', false"]),
+    "log_stream_latest": _LATEST,
     "scan_with_lineage": """
 SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows,
        CAST(sum(l_orderkey) AS BIGINT) AS key_sum FROM lineitem
@@ -320,6 +439,17 @@ ORDER BY id, year, month, day LIMIT {TOP_N}""",
     "merge_gold": _merge_sql(f"SELECT *, {_audit('b1', T1)} FROM ({_gold_of('tgt')})",
                              f"SELECT *, {_audit('b2', T2)} FROM ({_gold_of('src')})",
                              GOLD_KEYS),
+    "table_scan": f"""WITH {_TRIPS}, {_SPLIT}
+SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, CAST(NULL AS INTEGER) AS passenger_count, trip_distance,
+       CAST(NULL AS INTEGER) AS RatecodeID, CAST(NULL AS VARCHAR) AS store_and_fwd_flag, PULocationID, DOLocationID, payment_type,
+       {', '.join(f'CAST(NULL AS DOUBLE) AS {c}' for c in ('fare_amount', 'extra', 'mta_tax', 'tip_amount', 'tolls_amount', 'improvement_surcharge'))},
+       total_amount, CAST(NULL AS DOUBLE) AS congestion_surcharge, {_audit('b2', T1)} FROM src""",
+    "lakehouse_silver": f"WITH {_LAKE} SELECT * FROM silver",
+    "silver_from_new_batches": f"WITH {_LAKE} SELECT * EXCLUDE (updated_date, ingested_date) FROM silver",
+    "lakehouse_gold": f"WITH {_LAKE} SELECT * FROM gold",
+    "lakehouse_gold_daily": f"""WITH {_LAKE}
+SELECT year, month, day, CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, count(*) AS trip_count
+FROM gold GROUP BY ALL""",
     "log_failed_count": f"""WITH {_OPLOG}
 SELECT count(*) AS failed_count FROM ol WHERE fileName = '{PROBE_FILE}' AND status = 'failed'""",
     "log_insert_if_absent": f"""WITH {_OPLOG},
@@ -342,7 +472,7 @@ WHERE e.file_name NOT IN (
 SELECT 'trip_id_not_null' AS rule,
        CAST(count(*) FILTER (WHERE trip_id IS NULL) AS BIGINT) AS violations FROM silver
 UNION ALL SELECT 'key_columns_present', CAST(count(*) FILTER (WHERE pickup_datetime IS NULL
-       AND dropoff_datetime IS NULL AND total_amount IS NULL) AS BIGINT) FROM silver
+       OR dropoff_datetime IS NULL OR total_amount IS NULL) AS BIGINT) FROM silver
 UNION ALL SELECT 'total_amount_non_negative',
        CAST(count(*) FILTER (WHERE total_amount < 0) AS BIGINT) FROM silver
 UNION ALL SELECT 'dropoff_not_before_pickup',

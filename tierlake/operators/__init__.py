@@ -8,7 +8,7 @@ from tierlake.operators.merge import (
     MergeResult,
     merge_plan,
     merge_upsert,
-    source_key_stats,
+    replace_keys,
 )
 from tierlake.operators.quality import quality_report
 
@@ -23,6 +23,6 @@ __all__ = [
     "merge_plan",
     "merge_upsert",
     "quality_report",
-    "source_key_stats",
+    "replace_keys",
     "stamp_audit",
 ]

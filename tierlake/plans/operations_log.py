@@ -1,70 +1,86 @@
-"""The operations log as a table: the reference's three log statements
-(failed-attempt count, insert-if-absent, keep-latest) applied to a stored log.
+"""The operations log as a stored table: failed-attempt count, insert-if-absent and
+keep-latest applied to appended files.
 
-The log holds one row per file and attempt, so it stays small; it is a
-:class:`~tierlake.sinks.tables.VersionedTable` and every change writes a new
-version (never the folder being read).
+An attempt is one appended file; nothing that is there is read or written again. Files lie in
+a folder per generation. A compaction writes the rows to the next generation's folder; it
+counts from its success marker on, and then the older folders go. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tierlake.operators import oplog
 from tierlake.schemas import OPLOG_SCHEMA
-from tierlake.sinks.tables import VersionedTable
+from tierlake.sinks.tables import _FS
 
 
 @dataclass
 class OperationsLog:
     spark: SparkSession
     root: str
-    # Committed versions kept after each change (older ones are deleted).
-    keep_versions: int = 10
+    # An append that finds more files than this merges them first; the rows stay the same.
+    compact_above: int = 1000
 
-    def __post_init__(self):
-        self.table = VersionedTable(self.spark, self.root, OPLOG_SCHEMA)
+    def _folder(self, generation: int) -> str:
+        return f"{self.root.rstrip('/')}/generation={generation}"
+
+    def _generations(self) -> list[int]:
+        """Generations that a finished write has marked, oldest first."""
+        fs = _FS(self.spark, self.root)
+        found = [int(n.removeprefix("generation=")) for n in fs.children() if n.startswith("generation=")]
+        return sorted(g for g in found if fs.exists(f"{self._folder(g)}/_SUCCESS"))
+
+    def _current(self) -> int:
+        return max(self._generations(), default=0)
+
+    def files(self) -> int:
+        """Number of files in the current generation."""
+        return sum(n.endswith(".parquet") for n in _FS(self.spark, self._folder(self._current())).children())
 
     def read(self) -> DataFrame:
-        return self.table.read()
+        if not self._generations():
+            return self.spark.createDataFrame([], OPLOG_SCHEMA)
+        return self.spark.read.schema(OPLOG_SCHEMA).parquet(self._folder(self._current()))
 
     def failed_count(self, file_name: str) -> int:
         return int(oplog.failed_count(self.read(), file_name).first().failed_count)
 
-    def record(self, entries: DataFrame | list[tuple], change_id: str | None = None) -> None:
-        """Append entries whose file is not logged yet (insert-if-absent).
-        ``entries`` are rows of (fileName, downloadURL, status, updated_date, error)."""
-        if not isinstance(entries, DataFrame):
-            entries = self.spark.createDataFrame(entries, OPLOG_SCHEMA)
-        log = self.read()
-        self.table.commit(oplog.append_if_absent(log, entries),
-                          change_id or f"record-{uuid.uuid4().hex[:8]}")
-        self.table.expire(self.keep_versions)
-
-    def append(self, entries: DataFrame | list[tuple], change_id: str | None = None) -> None:
+    def _entries(self, entries: DataFrame | list[tuple]) -> DataFrame:
+        """``entries``: a DataFrame, or rows of (fileName, downloadURL, status, updated_date, error)."""
+        if isinstance(entries, DataFrame):
+            return entries.select(*OPLOG_SCHEMA.fieldNames())
+        return self.spark.createDataFrame(entries, OPLOG_SCHEMA).coalesce(1)
+
+    def append(self, entries: DataFrame | list[tuple]) -> None:
         """Append attempts, also of files that are logged already: a later ``done``
         clears a failure."""
-        if not isinstance(entries, DataFrame):
-            entries = self.spark.createDataFrame(entries, OPLOG_SCHEMA)
-        log = self.read()
-        self.table.commit(log.unionByName(entries.select(*log.columns)),
-                          change_id or f"append-{uuid.uuid4().hex[:8]}")
-        self.table.expire(self.keep_versions)
+        if self.files() > self.compact_above:
+            self._next_generation(self.read())
+        self._entries(entries).write.mode("append").parquet(self._folder(self._current()))
+
+    def record(self, entries: DataFrame | list[tuple]) -> None:
+        """Append entries whose file is not logged yet (insert-if-absent)."""
+        self.append(oplog.insert_if_absent(self.read(), self._entries(entries)))
 
     def log_status(self, file_name: str, url: str, status: str, at: dt.datetime,
                    error: str = "") -> None:
         """One attempt, as the downloader logs it."""
         self.append([(file_name, url, status, at, error)])
 
-    def deduplicate(self, change_id: str | None = None) -> None:
+    def deduplicate(self) -> None:
         """Keep only each file's latest entry (ties kept)."""
-        self.table.commit(oplog.deduplicate(self.read()),
-                          change_id or f"dedup-{uuid.uuid4().hex[:8]}")
-        self.table.expire(self.keep_versions)
+        self._next_generation(oplog.deduplicate(self.read()))
+
+    def _next_generation(self, rows: DataFrame) -> None:
+        old = self._generations()
+        # Adaptive execution sizes the files; a generation of small files becomes one or a few.
+        rows.repartition("fileName").write.mode("overwrite").parquet(self._folder(max(old, default=0) + 1))
+        for generation in old:
+            _FS(self.spark, self.root).delete(self._folder(generation))
 
     def retry_candidates(self) -> DataFrame:
         return oplog.retry_candidates(self.read())

@@ -110,6 +110,7 @@ GOLD_DAILY_SCHEMA = StructType([
     *AUDIT_FIELDS,
 ])
 GOLD_DAILY_KEYS = ["year", "month", "day"]
+GOLD_DAILY_PARTITIONS = ["year", "month"]
 
 OPLOG_SCHEMA = StructType([
     StructField("fileName", StringType()),

@@ -78,3 +78,12 @@ def object_store_conf(endpoint: str, access_key: str, secret_key: str,
         "spark.hadoop.fs.s3a.secret.key": secret_key,
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
     }
+
+
+def catalog_conf(name: str, implementation: str, **options: str) -> dict[str, str]:
+    """Builder settings for a named catalog: its class and options (``type``, ``uri``,
+    ``warehouse`` …), as ``spark.sql.catalog.<name>[.<option>]``.
+
+    Tables in it are then read by three-part names; ``build_session(catalog=name)`` makes it current."""
+    return {f"spark.sql.catalog.{name}": implementation,
+            **{f"spark.sql.catalog.{name}.{key}": value for key, value in options.items()}}

@@ -1,10 +1,10 @@
-"""Table layouts the pipeline writes to, and the failure (replay) log."""
+"""Table sinks and the failure log."""
 
 from tierlake.sinks.tables import (
+    BatchConflictError,
     PartitionedTable,
-    VersionedTable,
     failures_recorded,
     record_failure,
 )
 
-__all__ = ["PartitionedTable", "VersionedTable", "failures_recorded", "record_failure"]
+__all__ = ["BatchConflictError", "PartitionedTable", "failures_recorded", "record_failure"]

@@ -72,3 +72,18 @@ def ship_year_range(lineitem: DataFrame, extra_years: int = 0) -> DataFrame:
     """``(start_year, end_year)`` spanning the shipments, plus ``extra_years``."""
     return lineitem.agg(F.year(F.min("l_shipdate")).alias("start_year"),
                         (F.year(F.max("l_shipdate")) + extra_years).alias("end_year"))
+
+
+def lake_batches(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two batches of trips for the stored layers.
+
+    The first: payment types up to 5, where one vendor in ten has no dropoff. The second: types
+    from 4 on with doubled distance (4 and 5 are in both), where those vendors' trips have the time
+    as dropoff and no pickup. Ids skip NULLs, so such a trip keeps its id and moves to other partitions.
+    """
+    some = F.col("VendorID") % 10 == 0
+    pickup, dropoff = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    first = trips.where("payment_type <= 5").withColumn(dropoff, F.when(~some, F.col(dropoff)))
+    second = (trips.where("payment_type >= 4").withColumn("trip_distance", F.col("trip_distance") * 2)
+              .withColumns({pickup: F.when(~some, F.col(pickup)), dropoff: F.when(some, F.col(pickup)).otherwise(F.col(dropoff))}))
+    return first, second

@@ -19,6 +19,10 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark import SparkConf  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
 from tierlake import catalog  # noqa: E402
 from tierlake.operators.merge import merge_plan  # noqa: E402
 from tierlake.plans.lakehouse import Lakehouse  # noqa: E402
@@ -57,18 +61,20 @@ def summarize(text: str) -> list[str]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("plans", master="local[8]",
-                          conf={"spark.sql.shuffle.partitions": "8"})
+                          conf={"spark.sql.shuffle.partitions": "8",
+                                **({} if SparkConf().get("spark.checkpoint.dir", None) else
+                                   {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})})
     spark.sparkContext.setLogLevel("ERROR")
     sections = []
 
     t, s = catalog._split(spark, sf)
-    for label, limit in [("broadcast key set", None), ("shuffle (key set above the limit)", 0)]:
+    for label, strategy in [("as Spark plans it", "auto"), ("sort-merge joins", "shuffle")]:
         r = merge_plan(silver_batch(t, "b1", catalog.T1), silver_batch(s, "b2", catalog.T2),
-                       SILVER_KEYS, preserve=["ingested_date"], broadcast_limit_bytes=limit)
+                       SILVER_KEYS, preserve=["ingested_date"], strategy=strategy)
         sections.append((f"Silver upsert, {label}", summarize(plan_text(r.df))))
 
     for name in ["log_dedup_latest", "gold_trip_revenue", "gold_limit", "quality_report",
-                 "log_failed_count", "missing_months"]:
+                 "log_failed_count", "missing_months", "table_scan", "scan_bronze"]:
         sections.append((f"Query `{name}`", summarize(plan_text(catalog.QUERIES[name](spark, sf)))))
 
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -84,6 +90,10 @@ def main() -> None:
     sections.append(("Bronze scope of a one-month batch (layout column pruning)",
                      summarize(plan_text(lake.bronze.scope(bronze_src)))))
 
+    lake.run_batch(month.withColumn("trip_distance", F.lit(1.0)), "b2", dt.datetime(2024, 2, 1))
+    sections.append(("One batch of the bronze table (partitions from its commit, filter on its id)",
+                     summarize(plan_text(lake.bronze.extract_batch("b2")))))
+
     out = ["# Physical plans", "",
            f"Generated by `tools/show_plans.py` on `{sf}` (local[8], AQE on; the tree is the",
            "initial plan, AQE may still switch a sort-merge join to broadcast at run time).", ""]
