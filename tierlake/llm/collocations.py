@@ -21,7 +21,6 @@ Further columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -174,11 +173,6 @@ def _frequent(docs: DataFrame, widths: tuple[int, ...], shorter: KeyFilter | Non
                        .where(F.col("n") >= least), "runs")
 
 
-def _filter_of(prints: DataFrame) -> KeyFilter:
-    bits = min(28, max(16, math.ceil(math.log2(16 * max(1, prints.count())))))
-    return KeyFilter.build(prints.select("print"), bits)
-
-
 def _exact_words(words: Words) -> tuple[pa.Array, np.ndarray]:
     """The distinct words (lower-cased bytes) and each word's place among them, from the bytes themselves."""
     low = _LOWER[words.raw]
@@ -240,9 +234,9 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> Data
     found = _frequent(docs, (1, 2), None, least)
     every, last = found, found.where("width = 2")
     for width in range(3, longest + 1):
-        last = _frequent(docs, (width,), _filter_of(last), least)
+        last = _frequent(docs, (width,), KeyFilter.build(last.select("print")), least)
         every = every.unionByName(last)
-    rows = docs.mapInArrow(_phrases(longest, _filter_of(every)), "lang string, width int, phrase string, n long, doc_id long")
+    rows = docs.mapInArrow(_phrases(longest, KeyFilter.build(every.select("print"))), "lang string, width int, phrase string, n long, doc_id long")
     return materialise(rows.groupBy("lang", "width", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
                        .where((F.col("n") >= least) | (F.col("width") == 0)), "phrases")
 
