@@ -164,10 +164,12 @@ def score(docs: DataFrame, model: OrdinalModel, limit: float = 0.5) -> DataFrame
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, limit: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that ``score`` calls toxic; all columns stay."""
+    """``docs`` without the rows that ``score`` calls toxic; all columns stay, whatever their names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 yield part.filter(pa.array(model.above(part.column("text"))[:, 0] < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Plain names on the way, as Spark takes a dot in a name for a path there.
+    plain = docs.toDF(*[c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
