@@ -69,17 +69,28 @@ def test_footers_are_read_in_tasks(spark, workdir):
 
     for n in (4, 40):
         for k in range(2):
-            (spark.range(n).selectExpr("id AS VendorID" if k else "CAST(id AS INT) AS VendorID", "TIMESTAMP_NTZ'2024-01-01' AS tpep_pickup_datetime",
+            (spark.range(0, 10 * n, 1, n // 2).selectExpr("id AS VendorID" if k else "CAST(id AS INT) AS VendorID", "TIMESTAMP_NTZ'2024-01-01' AS tpep_pickup_datetime",
                                        "TIMESTAMP'2024-01-01' AS zoned", "CAST(1.5 AS DECIMAL(9, 2)) AS total_amount", "array(id) AS a")
-             .repartition(n // 2).write.parquet(f"{workdir}/{n}/{k}"))
+             .write.parquet(f"{workdir}/{n}/{k}"))
     counts = []
     for n in (4, 40):
         groups, many = jobs(f"footers-{n}", lambda n=n: group_by_physical_schema(spark, f"{workdir}/{n}"))
         counts.append(many)
         assert sorted(len(g.paths) for g in groups) == [n // 2, n // 2]
         for g in groups:
-            assert [(f.name, f.dataType) for f in g.schema] == [(f.name, f.dataType) for f in spark.read.parquet(g.paths[0]).schema]
+            assert [(f.name, f.dataType.simpleString()) for f in g.schema] == [(f.name, f.dataType.simpleString()) for f in spark.read.parquet(g.paths[0]).schema]
     assert counts[0] == counts[1]
+    # Files that Spark did not write: from the footer's own types.
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    os.makedirs(f"{workdir}/other")
+    stamp = [dt.datetime(2024, 1, 1)]
+    mixed = pa.table({"VendorID": pa.array([1], pa.int32()), "local": pa.array(stamp, pa.timestamp("us")), "day": pa.array([stamp[0].date()]),
+                      "instant": pa.array(stamp, pa.timestamp("us", tz="UTC")), "flag": ["N"], "d": pa.array([1.5], pa.float32())})
+    pq.write_table(mixed, f"{workdir}/other/a.parquet")
+    pq.write_table(pa.table({"old": pa.array(stamp, pa.timestamp("ns"))}), f"{workdir}/other/b.parquet", use_deprecated_int96_timestamps=True)
+    for g in group_by_physical_schema(spark, f"{workdir}/other"):
+        assert [(f.name, f.dataType.simpleString()) for f in g.schema] == [(f.name, f.dataType.simpleString()) for f in spark.read.parquet(g.paths[0]).schema]
     # Files that are all alike are read by their folder; no path is brought in.
     assert [g.paths for g in group_by_physical_schema(spark, f"{workdir}/40/0")] == [(f"{workdir}/40/0",)]
     assert [type(g.schema["zoned"].dataType).__name__ for g in groups] == ["TimestampType"] * 2

@@ -56,7 +56,16 @@ def _footer(path: str) -> str:
     uri = f"{TASK_SCHEMES[_scheme(path)]}://{'/' + rest.lstrip('/') if _scheme(path) in ('', 'file') else rest.lstrip('/')}"
     system, name = fs.FileSystem.from_uri(uri)
     with system.open_input_file(name) as file:
-        stored = pq.read_schema(file)
+        parquet = pq.ParquetFile(file)
+        written = (parquet.metadata.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+        if written:  # Spark's own account of the columns, which its reader goes by
+            return written.decode()
+        stored = parquet.schema_arrow
+        for k in range(len(parquet.schema)):
+            column = parquet.schema.column(k)
+            if column.physical_type == "INT96" and column.path in stored.names:  # an instant, to Spark
+                at = stored.get_field_index(column.path)
+                stored = stored.set(at, stored.field(at).with_type(pa.timestamp("us", tz="UTC")))
     return from_arrow_schema(stored, prefer_timestamp_ntz=True).json()
 
 
