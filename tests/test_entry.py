@@ -52,8 +52,13 @@ def duck():
     return con
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
+    """Rows, column names and column types."""
     df = entry_mod.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
     res = duck.execute(entry_mod.oracle_sql()[name])
@@ -62,15 +67,25 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(want)
     assert _digest(df.columns, got) == _digest(cols, want)
-
-
-DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
-                 "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
-
-
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
-def test_query_types_match_oracle(spark, duck, name):
-    spark_types = dict(entry_mod.queries()[name](spark, SF_SMALL).dtypes)
     described = duck.execute(f"DESCRIBE {entry_mod.oracle_sql()[name]}").fetchall()
-    duck_types = {row[0]: DUCK_TO_SPARK.get(row[1], row[1]) for row in described}
-    assert spark_types == duck_types
+    assert dict(df.dtypes) == {row[0]: DUCK_TO_SPARK.get(row[1], row[1]) for row in described}
+
+
+def test_only_the_absence_of_the_corpus_operators_is_put_up_with(tmp_path):
+    """Without both folders the other queries load; a broken import inside them is not hidden."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry_mod.__file__))
+    copy = f"{tmp_path}/copy"
+    shutil.copytree(root, copy, ignore=lambda d, names: [n for n in names if n in (".git", "llm", "corpus_pipeline.py", "__pycache__")])
+    ask = [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"]
+    got = subprocess.run(ask, cwd=copy, capture_output=True, text=True)
+    from tierlake.catalog import QUERIES
+    assert got.stdout.split() == [str(len(QUERIES)), "False"], got.stderr
+    with open(f"{copy}/corpus_pipeline.py", "w") as f:
+        f.write("import tierlake.no_such_module\n")
+    got = subprocess.run(ask, cwd=copy, capture_output=True, text=True)
+    assert "no_such_module" in got.stderr and got.returncode != 0

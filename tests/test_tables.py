@@ -287,7 +287,7 @@ def test_staged_copies_are_removed_after_success(spark, workdir, monkeypatch):
 
 def test_a_stopped_batch_leaves_no_trace_and_may_come_again(spark, workdir):
     from tierlake.plans.lakehouse import DataQualityError
-    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(300)
+    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(60)
     lake = Lakehouse(spark, f"{workdir}/lake", blocking_rules=("payment_type_known",))
     with pytest.raises(DataQualityError):          # lineitem has payment type 7
         lake.run_batch(trips, "b1", T1)
@@ -303,7 +303,7 @@ def test_a_stopped_batch_leaves_no_trace_and_may_come_again(spark, workdir):
 
 @pytest.mark.parametrize("layer", ["bronze", "silver", "gold"])
 def test_retry_after_partial_failure_equals_clean_run(spark, workdir, monkeypatch, layer):
-    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(300)
+    trips = as_trips(read_table(spark, SF_SMALL, "lineitem")).limit(30)
     trips = trips.union(trips.limit(1)).withColumn(
         "tpep_pickup_datetime", F.when(F.col("payment_type") > 1, F.col("tpep_pickup_datetime")))   # NULL and repeated keys
     real = sink._FS.write_json
