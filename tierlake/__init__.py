@@ -10,6 +10,14 @@ Layers:
     streaming/  the same steps driven incrementally by Structured Streaming
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from tierlake.session import build_session, shared_dir
 
+# The few functions that run on executors travel with the job, so the cluster's Python
+# needs no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session", "shared_dir"]

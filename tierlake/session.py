@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,12 +47,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or an already set RDD
-    checkpoint dir). It must be visible to every executor, so there is no
-    fallback to a machine-local temporary folder: an unset value is an error.
+    checkpoint dir). It must be visible to every executor, so on a cluster an unset
+    value is an error; only a local session, whose one machine runs all tasks, gets a
+    folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    if not base and spark.sparkContext.master.startswith("local"):
+        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     if spark.sparkContext.getCheckpointDir() is None:
