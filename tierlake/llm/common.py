@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
@@ -134,6 +136,15 @@ class KeyFilter:
         return df.where(F.col(column).isNotNull()).mapInArrow(test, df.schema)
 
 
+def trim_memory() -> None:
+    """On an executor: hand back what earlier tasks of this (reused) Python worker have freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

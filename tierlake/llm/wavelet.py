@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import shared_folder
+from tierlake.llm.common import shared_folder, trim_memory
 from tierlake.llm.text import buffer_of, slices, words_of
 
 MAGIC = b"WVM1"
@@ -166,7 +166,7 @@ class WordEncoder:
     that spell a special token are parted at white space only.
     """
 
-    MOST_WORDS = 2_000_000
+    MOST_WORDS = 500_000
 
     def __init__(self, path: str, mark: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
@@ -271,6 +271,7 @@ def _shards(tokenizer_path: str, end_id: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        trim_memory()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         encoder = WordEncoder.of_worker(tokenizer_path)
         doc_ids: list[int | None] = []
