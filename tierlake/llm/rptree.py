@@ -195,7 +195,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("label", "dim", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
                 F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "copies", "unit", "cells")
-    found = materialise(cells.groupBy("label", "dim", "cell", "low", "high").applyInPandas(_compare(threshold), "rep long, links long, root long"), "links")
+    # Dealt by pair of blocks: a large leaf's pairs must not follow its rows into one task.
+    pairs = ["label", "dim", "cell", "low", "high"]
+    found = materialise(cells.repartition(*pairs).groupBy(*pairs).applyInPandas(_compare(threshold), "rep long, links long, root long"), "links")
     group = components(found.where("rep <> root").select("rep", "root")).withColumnRenamed("node", "rep")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     result = classes.select("class", "rep", "copies").join(links, "rep", "left").join(group, "rep", "left") \
