@@ -136,3 +136,27 @@ def test_pipeline_reads_its_stages_back_and_keeps_clashing_columns(spark):
         out = stage(spark, docs, SF_SMALL)
         assert sorted(out.columns) == sorted(docs.columns), name
         assert {r[0] for r in out.select("replica").distinct().collect()} <= {"mine"}
+
+
+def test_word_encoder_keeps_words_compactly():
+    """A worker keeps its words' numbers through all later stages, so they must be small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tierlake.llm.queries import tokenizer_path
+    from tierlake.llm.wavelet import END_ID, WordEncoder
+
+    encoder, n = WordEncoder(tokenizer_path()), 150_000
+    texts = [" ".join(f"w{k}x" for k in range(at, at + 1000)) for at in range(0, n, 1000)]
+    expected = [[*e.ids, END_ID] for e in encoder.tokenizer.encode_batch(texts[:3], add_special_tokens=False)]
+    WordEncoder(tokenizer_path()).encode(pa.array(texts[:10]), END_ID)  # the module's own tables
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for k in range(0, len(texts), 10):
+        encoder.encode(pa.array(texts[k:k + 10]), END_ID)
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(encoder.known) == n and kept < 60 * n
+    ids, sizes = encoder.encode(pa.array(texts[:3]), END_ID)
+    assert ids.tolist() == sum(expected, []) and sizes.tolist() == [len(e) for e in expected]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import KeyFilter, combine, materialise, signed
+from tierlake.llm.common import KeyFilter, combine, materialise, signed, trim_memory
 from tierlake.llm.graph import components
 from tierlake.llm.text import mix, shingle_sets, slices, words_of
 
@@ -65,6 +65,7 @@ def _sketch(width: int, bands: int, rows: int):
                         ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         for batch in batches:
             for part in slices(batch):
                 _, _, _, hashes, first = words_of(part.column("text"))
@@ -90,6 +91,7 @@ def _sets(width: int):
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         for batch in batches:
             for part in slices(batch):
                 _, _, _, hashes, first = words_of(part.column("text"))
@@ -104,6 +106,7 @@ def _confirm(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         for batch in batches:
             hit = np.zeros(batch.num_rows, bool)
             for k, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
@@ -170,10 +173,13 @@ def _linked(percent: int, exact: bool):
         n_a, n_b = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
         c_a, c_b = left["component"].to_numpy(), right["component"].to_numpy()
         if exact:
-            sets = [np.frombuffer(x, np.uint64) for x in [*left["shingles"], *right["shingles"]]]
-            codes, vocabulary = pd.factorize(np.concatenate(sets))
+            # A block beside itself holds its sets once.
+            sets = [np.frombuffer(x, np.uint64) for x in (left["shingles"] if own else [*left["shingles"], *right["shingles"]])]
             begin = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
-            seen = np.zeros(len(vocabulary), bool)
+            codes, vocabulary = pd.factorize(np.concatenate(sets))
+            codes, seen = codes.astype(np.int32), np.zeros(len(vocabulary), bool)
+            del sets, vocabulary
+            of_right = begin[:-1] if own else begin[n:-1]
         i, j = [], []
         for k in range(n):
             low, high = np.minimum(n_a[k], n_b), np.maximum(n_a[k], n_b)
@@ -187,7 +193,7 @@ def _linked(percent: int, exact: bool):
                 seen[mine] = True
                 sizes = n_b[at]
                 ends = np.cumsum(sizes)
-                flat = np.repeat(begin[n + at] - (ends - sizes), sizes) + np.arange(ends[-1])
+                flat = np.repeat(of_right[at] - (ends - sizes), sizes) + np.arange(ends[-1])
                 common = np.add.reduceat(seen[codes[flat]], ends - sizes, dtype=np.int64)
                 seen[mine] = False
                 at = at[100 * common >= percent * (n_a[k] + sizes - common)]

@@ -187,7 +187,8 @@ class WordEncoder:
         return kept[path]
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        # Sorted hashes of the words and their numbers, as arrays: a dictionary of as many takes ten times the memory.
+        self.known, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.lengths, self.begins = np.zeros(1 << 18, np.int32), np.zeros(1 << 18, np.int64)
         self.pool, self.pooled = np.zeros(1 << 20, np.uint16), 0
 
@@ -214,7 +215,14 @@ class WordEncoder:
                 ids[i] = part[1:] if len(part) and part[0] == self.mark_id else part
         return [self._ids(words[k]) if x is None else x for k, x in enumerate(ids)]
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the words with these hashes, -1 for words not kept."""
+        if not len(self.known):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.numbers[at], -1).astype(np.int64)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         ids = self._encode_words(words)
         lengths = np.array([len(x) for x in ids], np.int64)
         n, total = len(self.known), int(lengths.sum())
@@ -229,7 +237,10 @@ class WordEncoder:
             self.pool[self.pooled:self.pooled + total] = got
         self.lengths[n:n + len(ids)] = lengths
         self.begins[n:n + len(ids)] = self.pooled + np.cumsum(lengths) - lengths
-        self.known.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, at, hashes[order])
+        self.numbers = np.insert(self.numbers, at, n + order)
         self.pooled += total
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,16 +252,14 @@ class WordEncoder:
         codes, distinct = pd.factorize(hashes)
         if len(self.known) > self.MOST_WORDS:
             self._forget()
-        keys = distinct.tolist()
-        at = np.array([self.known.get(h, -1) for h in keys], np.int64)
+        at = self._find(distinct)
         new = np.flatnonzero(at < 0)
         if len(new):
             where = np.empty(len(distinct), np.int64)
             where[codes[::-1]] = np.arange(len(codes))[::-1]
             source = folded if plain else data
             n = len(self.known)
-            self._learn([keys[k] for k in new.tolist()],
-                        [source[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+            self._learn(distinct[new], [source[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
             at[new] = np.arange(n, n + len(new))
         word = at[codes]
         long, begin = self.lengths[word].astype(np.int64), self.begins[word]
@@ -331,6 +340,7 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    trim_memory()
     for batch in batches:
         for start, image in zip(batch.column("start").to_pylist(), batch.column("image"), strict=True):
             doc_ids, lengths, matrix = open_shard(image.as_buffer())
