@@ -24,7 +24,8 @@ def shared(spark, sf):
     return sf
 
 
-@pytest.mark.parametrize("name", ["lakehouse_gold", "lakehouse_gold_daily", "merge_bronze", "lakehouse_silver"])
+@pytest.mark.parametrize("name", ["lakehouse_gold", "lakehouse_gold_daily", "merge_bronze", "lakehouse_silver",
+                                  "silver_from_new_batches"])
 def test_queries_have_the_rows_of_their_sql(spark, workdir, name):
     sf = shared(spark, f"{workdir}/sf")
     con = duckdb.connect()
